@@ -21,9 +21,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), digests=True)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a seeded mix takes of every document."""
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_bpe": op2_bpe}
+    return {"op2_bpe": op2_bpe, "op5_mixing": op5_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import mixing
+
+    return {"op5_mixing": mixing.sql()}
