@@ -28,8 +28,41 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, fertility and verdict."""
+    import public_tokenizers
+
+    from .quality import judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id",))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts of the fixed forms, their digest, and all spans."""
+    from pyspark.sql import functions as F
+
+    from .secrets import scan
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",))
+
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_bpe": op2_bpe, "op5_mixing": op5_mixing}
+    return {"op2_bpe": op2_bpe, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op10_secrets": op10_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
