@@ -21,6 +21,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), digests=True)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text under pseudonyms, and how many of each kind it had."""
+    from .pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a seeded mix takes of every document."""
     from .mixing import mix
@@ -45,6 +52,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learned from the labelled rows that aren't held out."""
+    from pyspark.sql import functions as F
+
+    from .classifier import labelled_sample, score, train
+
+    held_out = lambda key: F.crc32(key.cast("string").cast("binary")) % 3 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights, bias = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), held_out))
+    return score(docs, weights, bias, keep=("doc_id",)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets: counts of the fixed forms, their digest, and all spans."""
     from pyspark.sql import functions as F
@@ -62,7 +81,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_bpe": op2_bpe, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op10_secrets": op10_secrets}
+    return {"op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
