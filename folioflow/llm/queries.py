@@ -11,6 +11,15 @@ from .common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every embedding whose id is divisible by 20."""
+    from pyspark.sql import functions as F
+
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids under the 50k byte-level vocabulary, as digests, and what they decode to."""
     import public_tokenizers
@@ -81,7 +90,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
+    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
