@@ -6,6 +6,7 @@ time, so that words, shingles and hashes come from a few numpy passes.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,6 +49,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the files of shuffles that are done
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -61,6 +61,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without the 13-word windows of smaller documents."""
+    from .substrings import removed
+
+    return removed(table(spark, sf_dir, "documents"))
+
+
 def op9_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, learned from the labelled rows that aren't held out."""
     from pyspark.sql import functions as F
@@ -90,7 +97,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
+    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op8_substrings": op8_substrings, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
