@@ -30,6 +30,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), digests=True)
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without the 100-byte strings that start earlier."""
+    from .suffixes import removed
+
+    return removed(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text under pseudonyms, and how many of each kind it had."""
     from .pii import pseudonymise
@@ -97,7 +104,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op8_substrings": op8_substrings, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
+    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op3_suffixes": op3_suffixes, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op8_substrings": op8_substrings, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
