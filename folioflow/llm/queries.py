@@ -103,8 +103,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op3_suffixes": op3_suffixes, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op8_substrings": op8_substrings, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets}
+    return {"op1_ann": op1_ann, "op2_bpe": op2_bpe, "op3_suffixes": op3_suffixes, "op4_pii": op4_pii, "op5_mixing": op5_mixing, "op6_quality": op6_quality, "op7_simhash": op7_simhash, "op8_substrings": op8_substrings, "op9_classifier": op9_classifier, "op10_secrets": op10_secrets, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import cut, slices, spaced, words
+from .common import cut, mixed, slices, spaced, window_hashes, word_hashes, words
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 MAX_SHARD = 20_000
@@ -226,3 +226,131 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(ids, "root").select("fp", "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("fp")).select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Of stage near-dedup: words of a shingle, least resemblance, shingles of a sketch, shards of a text, and bits that a BK-tree query reaches.
+STAGE_SHINGLE, RESEMBLANCE, SKETCH, SHARDS, REACH = 5, 0.8, 256, 4, 22
+_TURNS = np.random.default_rng(20240617).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, its SKETCH least hashes, and 8 least hashes under as many turns.
+
+    A row under a shingle long is one shingle of all its words; a row without words has size 0."""
+    n = len(offsets) - 1
+    data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
+    starts, ends, first = words(data, offsets)
+    own, counts = word_hashes(data, starts, ends), np.diff(first)
+    short = np.flatnonzero((counts > 0) & (counts < shingle))
+    rows = np.repeat(np.arange(n), counts)
+    m = max(len(own) - shingle + 1, 0)
+    inside = np.flatnonzero(rows[:m] == rows[shingle - 1 :][:m]) if m else np.empty(0, np.int64)
+    h = window_hashes(own, shingle)[inside] if m else np.empty(0, np.uint64)
+    row = rows[inside]
+    if len(short):
+        whole = [mixed(window_hashes(own[first[i] : first[i + 1]], int(counts[i]), 97))[0] for i in short]
+        h, row = np.append(h, np.array(whole, np.uint64)), np.append(row, short)
+    by = np.lexsort((h, row))
+    h, row = h[by], row[by]
+    if len(h):
+        one = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))
+        h, row = h[one], row[one]
+    sizes = np.bincount(row, minlength=n)
+    some = np.flatnonzero(sizes)
+    at = (np.cumsum(sizes) - sizes)[some]
+    prints, sets, least = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((8, n), np.uint64)
+    if len(some):
+        half = sizes[some] // 2
+        for bit in range(64):
+            ones = np.add.reduceat((h >> np.uint64(bit)).astype(np.uint8) & np.uint8(1), at, dtype=np.int64)
+            prints[some] |= (ones > half).astype(np.uint64) << np.uint64(bit)
+        sets[some] = np.add.reduceat(mixed(h + np.uint64(3)), at)
+        for i, turn in enumerate(_TURNS):
+            least[i, some] = np.minimum.reduceat(mixed(h * turn), at)
+    ends_ = np.cumsum(sizes)
+    sketches = [h[b - s : min(b, b - s + SKETCH)].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
+    return prints, sets, sizes, sketches, least
+
+
+def resemblance(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> float:
+    """Share of common shingles: exact for sets that fit their sketches, else from the SKETCH least hashes of the union."""
+    union = np.union1d(a, b)
+    if size_a > SKETCH or size_b > SKETCH:
+        union = union[:SKETCH]
+    both = np.intersect1d(a, b, assume_unique=True)
+    return np.isin(union, both, assume_unique=True).sum() / max(len(union), 1)
+
+
+def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """Links that unite all members (set, print, size, sketch) that resemble one another within the tree's reach."""
+    tree, parent, links = BKTree(), list(range(len(members))), []
+    sketches = [np.frombuffer(m[3], np.uint64) for m in members]
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, (key, code, size, _) in enumerate(members):
+        for j in tree.within(code & 0xFFFFFFFFFFFFFFFF, REACH):
+            a, b = root(i), root(j)
+            if a != b and min(size, members[j][2]) >= RESEMBLANCE * max(size, members[j][2]) and resemblance(sketches[i], sketches[j], size, members[j][2]) >= RESEMBLANCE:
+                parent[a] = b
+                links.append((key, members[j][0]))
+        tree.add(code & 0xFFFFFFFFFFFFFFFF)
+    return links
+
+
+def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_shard: int = MAX_SHARD) -> DataFrame:
+    """(key, component_id) of rows that resemble another row (five words, 0.8 or more): the least key reachable.
+
+    Equal sets of shingles are one node. A node goes to SHARDS shards by the
+    least hash of its shingles under as many turns: two texts share one with
+    1 - (1 - resemblance) ** SHARDS, 0.998 at 0.8. A shard over max_shard nodes
+    is cut again by other turns in the same way. Inside, a BK-tree over the
+    SimHashes finds whom to compare, and sketches decide. Rows without words
+    and rows without a key resemble nothing."""
+    schema = "key long, fp long, st long, size long, sketch binary, turns array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in slices(batch, "text"):
+                prints, sets, sizes, sketches, least = text_sketches(data, offsets)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * len(sizes) + 1, 8), pa.int32()), pa.array(np.ascontiguousarray(least.T).reshape(-1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(prints.view(np.int64)), pa.array(sets.view(np.int64)), pa.array(sizes), pa.array(sketches, pa.binary()), keys], names=["key", "fp", "st", "size", "sketch", "turns"])
+
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key IS NOT NULL").mapInArrow(run, schema).where("size > 0")
+    found = cut(found, "sketches")
+    nodes = found.groupBy("st", "fp", "size").agg(F.min("key").alias("least"), F.any_value("turns").alias("turns"))
+    turned = nodes.select("st", "turns", F.posexplode(F.slice("turns", 1, SHARDS)).alias("turn", "value"))
+    counted = turned.groupBy("turn", "value").agg(F.count("*").alias("n")).where("n > 1")
+    again = F.when(F.col("n") > max_shard, F.slice("turns", SHARDS + 1, SHARDS)).otherwise(F.array(F.lit(0).cast("long")))
+    placed = cut(turned.join(counted, ["turn", "value"]).select("st", "turn", "value", F.posexplode(again).alias("part", "more")), "shards")
+    full = found.join(placed.select("st").distinct(), "st", "left_semi").groupBy("st").agg(F.any_value("fp").alias("fp"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch"))
+    dealt = placed.join(full, "st").select("turn", "value", "part", "more", "st", "fp", "size", "sketch")
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members = None, []
+        links: list[tuple[int, int]] = []
+        for batch in batches:
+            for *shard, st, fp, size, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != now:
+                    links += _shard_forest(members) if len(members) > 1 else []
+                    now, members = shard, []
+                members.append((st, fp, size, sketch))
+        links += _shard_forest(members) if len(members) > 1 else []
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    by = ["turn", "value", "part", "more"]
+    roots = components(dealt.repartition(*by).sortWithinPartitions(*by, "st").mapInArrow(unite, "a long, b long"))
+    named = nodes.select("st", "least").join(roots.withColumnRenamed("node", "st"), "st", "left").withColumn("root", F.coalesce("root", "st"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return found.select("key", "st").join(named.join(ids, "root").select("st", "component_id"), "st").select(F.col("key").alias(key), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the rows that resemble a row of smaller key through links; rows without key or words stay."""
+    gone = resembling(docs, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
+    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
