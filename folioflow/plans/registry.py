@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import block_queries, text_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = "markdown_documents"
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {**text_queries.QUERIES, **block_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**text_queries.SQL, **block_queries.SQL}
