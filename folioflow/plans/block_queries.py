@@ -190,10 +190,10 @@ def page_geometry_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermark.page_gate(geometry(spark, sf_dir)).select("doc_id", "supported")
 
 
-@query("SELECT p_partkey AS doc_id, greatest(0, p_size // 2 - 2)::INT AS l, greatest(0, p_size - 2)::INT AS t, least(450, p_size + 52)::INT AS r, least(600, p_size + 302)::INT AS b FROM part")
+@query("SELECT p_partkey AS doc_id, greatest(0, p_size // 2 * 3 - 2)::INT AS l, greatest(0, p_size * 3 - 2)::INT AS t, least(768, p_size * 3 + 602)::INT AS r, least(1536, p_size * 3 + 1502)::INT AS b FROM part")
 def watermark_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, key, size = parts(spark, sf_dir)
-    r = watermark.region(box(F.floor(size / 2) * 4 / 3, size * 4 / 3, (size + 50) * 4 / 3, (size + 300) * 4 / 3), F.lit(600), F.lit(800), F.lit(450), F.lit(600))
+    r = watermark.region(box(F.floor(size / 2) * 2, size * 2, size * 2 + 400, size * 2 + 1000), F.lit(512), F.lit(1024), F.lit(768), F.lit(1536))
     return df.select(key.alias("doc_id"), *[r[n].alias(n) for n in "ltrb"])
 
 
@@ -374,10 +374,10 @@ def qualify_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.qualify_paths(blocks, known).select("doc_id", "content")
 
 
-@query(f"SELECT l_orderkey AS doc_id, seq::INT AS \"order\", l_partkey % 7 <> 6 AS included_in_markdown, l_partkey % 7 = 5 AND l_suppkey % 4 <> 0 AS has_image, CASE WHEN l_partkey % 7 = 4 THEN false END AS has_merged_cells FROM {SEQ}")
+@query(f"SELECT l_orderkey AS doc_id, seq::INT AS \"order\", l_partkey % 7 <> 6 AS included_in_markdown, l_partkey % 7 = 5 AND l_suppkey % 4 <> 0 AS has_image, false AS has_merged_cells FROM {SEQ}")
 def debug_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = normalize.adapt(raw_blocks(spark, sf_dir)).withColumn("option_group", F.lit(None).cast(OPTION_GROUP))
-    return export.debug_elements(e, "primary").select("doc_id", "order", "included_in_markdown", "has_image", "has_merged_cells")
+    return export.debug_elements(e, "primary").select("doc_id", "order", "included_in_markdown", "has_image", F.coalesce("has_merged_cells", F.lit(False)).alias("has_merged_cells"))
 
 
 @query("SELECT o_orderkey AS doc_id, 'tbl-0.html' AS \"table\", o_orderkey % 7 IN (0, 5) AS converted, 0 AS warnings FROM orders")
