@@ -14,7 +14,7 @@ from ..functions.exams import question_layout
 from ..functions.markup import image_sources, with_sources
 from ..functions.mathtext import cell_markdown, strip, tidy_inline
 from ..schema import IGNORED_KINDS, TITLE_KINDS
-from .normalize import PAGE
+from .normalize import page_order
 
 tidied = column(tidy_inline, "string")
 cell = column(cell_markdown, "string")
@@ -109,7 +109,7 @@ def flags(elements: DataFrame) -> DataFrame:
     grouped = F.col("option_group").isNotNull() & (F.col("kind") != "table") & F.col("image_png").isNull() & (text != "")
     clears = ignored | grouped
     inline = F.coalesce(F.col("formula_placement") == "inline", F.lit(False))
-    before = lambda c: F.coalesce(F.lag(~clears & c).over(PAGE), F.lit(False))
+    before = lambda c: F.coalesce(F.lag(~clears & c).over(page_order()), F.lit(False))
     told = elements.withColumn("_after_inline", before(inline)).withColumn("_after_text", before(F.col("kind") == "text"))
     own = (F.col("kind") != "table") & F.col("image_png").isNull() & F.col("option_group").isNull()
     glues = own & ((inline & (F.col("_after_text") | F.col("_after_inline"))) | ((F.col("kind") == "text") & F.col("_after_inline")))

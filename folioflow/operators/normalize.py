@@ -20,7 +20,10 @@ OPTION = rf"(?U)(?<![^{WS}])\(([1-9])\)(?=[{WS}])"
 LOOSE_OPTION = rf"(?U)(?<![^{WS}])\(([1-9])\)"
 ANY_TAG = r"</?[A-Za-z][^>]*>"
 
-PAGE = W.partitionBy("doc_id", "page_no").orderBy("ord")
+
+def page_order():
+    """Reading order of a page."""
+    return W.partitionBy("doc_id", "page_no").orderBy("ord")
 
 
 def normalize_formula(content: Column) -> Column:
@@ -61,7 +64,7 @@ def formula_placement(blocks: DataFrame) -> DataFrame:
     """blocks with formula_placement: as the kind says, or inline beside text of the same line, else display."""
     inline = F.lit(False)
     for shift in (F.lag, F.lead):
-        inline = inline | _beside(F.col("bbox"), shift("kind").over(PAGE), shift("bbox").over(PAGE))
+        inline = inline | _beside(F.col("bbox"), shift("kind").over(page_order()), shift("bbox").over(page_order()))
     placed = F.when(F.col("kind") == "inline_formula", "inline").when(F.col("kind") == "display_formula", "display").when(F.col("kind") == "formula", F.when(inline, "inline").otherwise("display"))
     return blocks.withColumn("formula_placement", placed)
 
@@ -149,7 +152,7 @@ def normalize_options(elements: DataFrame) -> DataFrame:
     eligible = (F.col("kind") == "text") & F.col("formula_placement").isNull()
     alone = recognize_options(elements.drop("option_group"), out="_alone")
     bare = eligible & F.col("content").rlike(QUESTION.replace("(?dmiU)^", r"(?diU)\A")) & F.col("_alone").isNull()
-    carried = alone.withColumn("_follows", F.coalesce(F.lag(bare).over(PAGE), F.lit(False)))
+    carried = alone.withColumn("_follows", F.coalesce(F.lag(bare).over(page_order()), F.lit(False)))
     found = recognize_options(carried, follows=F.col("_follows"), out="_group")
     return found.withColumn("option_group", F.when(eligible, F.col("_group"))).drop("_alone", "_follows", "_group")
 

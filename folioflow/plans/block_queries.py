@@ -112,13 +112,13 @@ def pages_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- recovery ----------------------------------------------------------------
 
-BELOW = f"""WITH b AS (SELECT l_orderkey, seq, seq // 3 AS page, l_partkey % 90 AS l, l_partkey % 90 + 30 AS r, l_suppkey % 50 AS t, l_suppkey % 50 + 20 AS bt FROM {SEQ}),
+BELOW = f"""WITH b AS (SELECT l_orderkey, seq, seq // 3 AS page, l_partkey % 90 AS l, l_partkey % 90 + 30 AS r, l_suppkey * 37 % 50 AS t, l_suppkey * 37 % 50 + 20 AS bt FROM {SEQ}),
 n AS (SELECT a.*, (SELECT min(o.t) FROM b o WHERE o.l_orderkey = a.l_orderkey AND o.page = a.page AND o.seq <> a.seq AND o.t > a.t AND least(a.r, o.r) > greatest(a.l, o.l)) AS next_top FROM b a)"""
 
 
 def scattered(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered_lines(spark, sf_dir)
-    l, t = F.col("l_partkey") % 90, F.col("l_suppkey") % 50
+    l, t = F.col("l_partkey") % 90, F.col("l_suppkey") * 37 % 50
     return rows.select(*place(rows), F.lit("text").alias("kind"), box(l, t, l + 30, t + 20).alias("bbox"), F.when(F.col("l_partkey") % 2 == 0, say("Q", F.col("l_partkey"), ". x (1) a (2) b")).otherwise(say("Q", F.col("l_partkey"), ". x (1) a (2) b (3) c (4) d")).alias("content"))
 
 
