@@ -49,7 +49,8 @@ ALPHABETS = {
 _INDEX = {k: {c: i for i, c in enumerate(a)} for k, a in ALPHABETS.items()}
 #: Written-text model: letters per hundred (rough shares in Latin-script prose); a class change between neighbours costs extra.
 _LETTER = dict(zip("etaoinsrhldcumfpgwybvkxjqz", (12, 9, 8, 7.5, 7, 7, 6.5, 6, 5, 4, 4, 3, 3, 2.5, 2.2, 2, 2, 2, 2, 1.5, 1, 0.8, 0.2, 0.2, 0.1, 0.1)))
-_SAME_CLASS = 0.95
+#: Separators join words, so a change to or from one costs little.
+_SAME_CLASS, _SEPARATED = 0.95, 0.2
 
 
 def _kind(c: str) -> int:
@@ -62,7 +63,7 @@ def _prose_log(run: str) -> float:
     for c in run:
         k = _kind(c)
         total += math.log(_LETTER.get(c.lower(), 1) / 100 if k < 2 else 0.1)
-        total += math.log((1 / 4) if last is None else _SAME_CLASS if k == last else (1 - _SAME_CLASS) / 3)
+        total += math.log((1 / 4) if last is None else _SAME_CLASS if k == last else _SEPARATED if 3 in (k, last) else (1 - _SAME_CLASS) / 3)
         last = k
     return total
 
