@@ -87,10 +87,10 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataF
 
     Keys are unique in docs; a row with a null key is kept once."""
     copies = F.expr("CASE WHEN size = 0 THEN 0 ELSE (2 * taken + size) div (2 * size) END").cast("int")
-    wanted = mixed.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), copies.alias("_copies"))
+    wanted = mixed.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), copies.alias("__copies"))
     return (
-        docs.join(wanted, F.col(key) == F.col("_key"), "left")
-        .withColumn("_turn", F.explode(F.array_repeat(F.lit(1), F.when(F.col("_key").isNull(), 1).otherwise(F.col("_copies")))))
+        docs.join(wanted, F.col(key) == F.col("__key"), "left")
+        .withColumn("__turn", F.explode(F.array_repeat(F.lit(1), F.when(F.col("__key").isNull(), 1).otherwise(F.col("__copies")))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 

@@ -155,12 +155,12 @@ def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
 
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """docs with text's personal data replaced, and n_<kind> for each kind."""
-    found = docs.withColumn("_found", F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))))
-    valid = found.withColumn("_valid", F.transform("_found", lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind"))))
-    new = F.transform("_valid", lambda x: pseudonym(x["old"], x["kind"], key))
+    found = docs.withColumn("__pii_found", F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))))
+    valid = found.withColumn("__pii_valid", F.transform("__pii_found", lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind"))))
+    new = F.transform("__pii_valid", lambda x: pseudonym(x["old"], x["kind"], key))
     gaps = F.split(F.col(text), CANDIDATE, -1)
     rebuilt = F.array_join(F.zip_with(gaps, new, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
-    some = F.exists("_valid", lambda x: x["kind"].isNotNull())
-    number = lambda k: F.size(F.filter("_valid", lambda x: x["kind"] == k))
-    counts = {f"n_{k}": F.when(F.col("_valid").isNull(), F.lit(0)).otherwise(number(k)).cast("long") for k in KINDS}
+    some = F.exists("__pii_valid", lambda x: x["kind"].isNotNull())
+    number = lambda k: F.size(F.filter("__pii_valid", lambda x: x["kind"] == k))
+    counts = {f"n_{k}": F.when(F.col("__pii_valid").isNull(), F.lit(0)).otherwise(number(k)).cast("long") for k in KINDS}
     return valid.select(*[F.col(f"`{c}`") for c in docs.columns if c != text and c not in counts], F.when(some, rebuilt).otherwise(F.col(text)).alias(text), *[c.alias(k) for k, c in counts.items()])
