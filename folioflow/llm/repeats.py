@@ -42,14 +42,24 @@ def doubled(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+INVERSE = np.uint64(pow(int(GOLD), -1, 1 << 64))
+
+
 def contents(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of the items starts .. starts + sizes - 1, for each slice."""
+    """A hash of the items starts .. starts + sizes - 1, for each slice: a difference of prefix sums, moved to power 0."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    to = np.cumsum(sizes)
-    inside = np.arange(to[-1]) - np.repeat(to - sizes, sizes)
-    powers = np.cumprod(np.full(int(sizes.max()), GOLD, np.uint64))
-    return mixed(np.add.reduceat(h[np.repeat(starts, sizes) + inside] * powers[inside], to - sizes) + sizes.astype(np.uint64))
+    n = len(h)
+    powers = np.full(n, GOLD, np.uint64)
+    powers[0] = 1
+    np.cumprod(powers, out=powers)
+    powers *= h
+    upto = np.zeros(n + 1, np.uint64)
+    np.cumsum(powers, out=upto[1:])
+    back = np.full(int(starts[-1]) + 1, INVERSE, np.uint64)
+    back[0] = 1
+    np.cumprod(back, out=back)
+    return mixed((upto[starts + sizes] - upto[starts]) * back[starts] + sizes.astype(np.uint64))
 
 
 def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
@@ -57,7 +67,7 @@ def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in slices(batch, "text", 1 << 20):
+            for rows, data, offsets in slices(batch, "text", 1 << 19):
                 h, first, grams = items(data, offsets)
                 row, start, n, at = runs(grams, first, window, k)
                 ids = rows.column(rows.schema.get_field_index("doc")).to_numpy(zero_copy_only=False)
