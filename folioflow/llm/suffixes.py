@@ -12,9 +12,9 @@ bytes, and a row begins a new class where its symbol or the class it came from
 changed: its common prefix with the row before is then under 25 t bytes. After
 four, the classes are the repeated intervals of 100 bytes.
 
-Runs travel by anchor, so equal windows meet in one chunk. An anchor with over
-HOT contents is dealt by window instead: equal windows still meet, and no task
-holds the anchor's runs together.
+Runs travel by anchor, so equal windows meet in one chunk. The windows of an
+anchor with over HOT contents are told apart by 128-bit hashes under that anchor
+instead, pre-aggregated, so that no task holds the anchor's runs together.
 
 Edge cases: null and empty texts have no bytes; texts under 100 bytes lose
 nothing; rows without a key lose nothing and remove nothing; keys are unique
@@ -39,7 +39,7 @@ WINDOW, GRAM = 100, 32
 SYMBOL, ROUNDS = 25, 4
 SHARDS = 4
 #: Bytes of run contents in a chunk, and contents of an anchor that travel together.
-CHUNK, HOT = 1 << 19, 2000
+CHUNK, HOT = 1 << 18, 2000
 
 
 def _items(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,13 +156,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     bodies = cut(repeats.with_contents(known, open_runs, _bodies), "bodies")
     cool = bodies.where(F.col("contents") <= HOT).select(F.col("h").alias("key"), "doc", "s", "n", "body")
     each = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    hot = bodies.where(F.col("contents") > HOT).withColumn("i", each).select("doc", (F.col("s") + F.col("i")).alias("s"), F.lit(1).alias("n"), F.substring("body", F.col("i") + 1, F.lit(WINDOW)).alias("body"))
-    # Of equal windows only the earliest needs its bytes looked at again: the others go here.
-    hot = hot.withColumn("key", F.xxhash64("body"))
-    heads = hot.groupBy("key", "body").agg(F.min(F.struct("doc", "s")).alias("first"))
-    doubles = hot.join(heads, ["key", "body"]).where(F.struct("doc", "s") > F.col("first")).select("doc", "s", "n")
-    single = heads.select("key", "first.doc", "first.s", F.lit(1).alias("n"), "body")
-    dealt = cool.unionByName(single).repartition("key").sortWithinPartitions("key", "doc", "s")
+    hot = bodies.where(F.col("contents") > HOT).withColumn("i", each).select("h", "doc", (F.col("s") + F.col("i")).alias("s"), F.lit(1).alias("n"), F.substring("body", F.col("i") + 1, F.lit(WINDOW)).alias("body"))
+    hot = hot.select("doc", "s", "n", "h", F.xxhash64(F.lit(1), "body").alias("k1"), F.xxhash64(F.lit(2), "body").alias("k2"))
+    heads = cut(hot.groupBy("h", "k1", "k2").agg(F.min(F.struct("doc", "s")).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "heads")
+    doubles = hot.join(heads, ["h", "k1", "k2"]).where(F.struct("doc", "s") > F.col("first")).select("doc", "s", "n")
+    dealt = cool.repartition("key").sortWithinPartitions("key", "doc", "s")
     found = dealt.mapInArrow(_settle, "doc long, s long, n int")
     return later.unionByName(doubles).unionByName(found)
 
