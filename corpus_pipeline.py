@@ -37,10 +37,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenise_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, and whether they decode to its text."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode_texts(docs, vocabulary)
-    back = bpe.decode_texts(coded, vocabulary)
-    same = F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary"), F.lit(False))
-    return back.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.encode_texts(docs.select("doc_id", "source", "text"), vocabulary, places=False, check=True)
+    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

@@ -320,13 +320,14 @@ class Encoder:
         return self.bytes[np.repeat(self.starts[ids] - (to - sizes), sizes) + np.arange(to[-1])].tobytes()
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", *, digests: bool = False) -> DataFrame:
-    """docs with its texts' ids and their byte offsets (columns ids, id_offsets); or, with digests,
-    with n_tokens, ids_sha256 and decoded_sha256 in place of the text. vocabulary is a rank file's path on every executor."""
+def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", *, digests: bool = False, places: bool = True, check: bool = False) -> DataFrame:
+    """docs with its texts' ids (column ids) and, with places, the ids' byte offsets (id_offsets); with check,
+    round_trip: whether the ids decode to the text's bytes. With digests, n_tokens, ids_sha256 and
+    decoded_sha256 stand in place of the text. vocabulary is a rank file's path on every executor."""
     from pyspark.sql import types as T
 
-    kept = [f for f in docs.schema.fields if f.name not in {"ids", "id_offsets", "n_tokens", "ids_sha256", "decoded_sha256"} and not (digests and f.name == text)]
-    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, id_offsets array<long>"
+    kept = [f for f in docs.schema.fields if f.name not in {"ids", "id_offsets", "round_trip", "n_tokens", "ids_sha256", "decoded_sha256"} and not (digests and f.name == text)]
+    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>" + ", id_offsets array<long>" * places + ", round_trip boolean" * check
     schema = T.StructType([*kept, *T.StructType.fromDDL(more).fields])
     names = [f.name for f in kept]
 
@@ -336,20 +337,21 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", *, digest
             for rows, data, offsets in slices(batch, text):
                 ids, at, first = coder.encode(data, offsets)
                 columns = [rows.column(rows.schema.get_field_index(n)) for n in names]
+                parts = [ids[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 if digests:
-                    raw = ids.astype("<u4", copy=False)
-                    parts = [raw[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                     columns += [
                         pa.array(np.diff(first), pa.int64()),
-                        pa.array([hashlib.sha256(p.tobytes()).hexdigest() for p in parts]),
+                        pa.array([hashlib.sha256(p.astype("<u4", copy=False).tobytes()).hexdigest() for p in parts]),
                         pa.array([hashlib.sha256(coder.decode(p)).hexdigest() for p in parts]),
                     ]
                 else:
-                    base = np.repeat(offsets[:-1], np.diff(first))
-                    columns += [
-                        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32))),
-                        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(at - base, pa.int64())),
-                    ]
+                    columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32))))
+                    if places:
+                        base = np.repeat(offsets[:-1], np.diff(first))
+                        columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(at - base, pa.int64())))
+                    if check:
+                        raw = data.tobytes()
+                        columns.append(pa.array([coder.decode(p) == raw[a:b] for p, a, b in zip(parts, offsets[:-1].tolist(), offsets[1:].tolist())]))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
