@@ -229,12 +229,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
 
 #: Of stage near-dedup: words of a shingle, least resemblance, shingles of a sketch, shards of a text, and bits that a BK-tree query reaches.
-STAGE_SHINGLE, RESEMBLANCE, SKETCH, SHARDS, REACH = 5, 0.8, 256, 4, 22
+STAGE_SHINGLE, RESEMBLANCE, SKETCH, SHARDS, REACH = 5, 0.8, 1024, 4, 22
 _TURNS = np.random.default_rng(20240617).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, its SKETCH least hashes, and 8 least hashes under as many turns.
+    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of its SKETCH least hashes, and 8 least hashes under as many turns.
 
     A row under a shingle long is one shingle of all its words; a row without words has size 0."""
     n = len(offsets) - 1
@@ -268,7 +268,8 @@ def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SH
         for i, turn in enumerate(_TURNS):
             least[i, some] = np.minimum.reduceat(mixed(h * turn), at)
     ends_ = np.cumsum(sizes)
-    sketches = [h[b - s : min(b, b - s + SKETCH)].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
+    short_ = (h >> np.uint64(32)).astype(np.uint32)
+    sketches = [short_[b - s : min(b, b - s + SKETCH)].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
     return prints, sets, sizes, sketches, least
 
 
@@ -281,24 +282,71 @@ def resemblance(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> float
     return np.isin(union, both, assume_unique=True).sum() / max(len(union), 1)
 
 
-def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
-    """Links that unite all members (set, print, size, sketch) that resemble one another within the tree's reach."""
-    tree, parent, links = BKTree(), list(range(len(members))), []
-    sketches = [np.frombuffer(m[3], np.uint64) for m in members]
+class _Postings:
+    """Which members hold each shingle hash: common counts of one member with all before it, in one pass."""
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    def __init__(self, sketches: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sketches])
+        owner = np.repeat(np.arange(len(sketches)), self.sizes)
+        number = np.unique(np.concatenate(sketches), return_inverse=True)[1]
+        self.ends = np.cumsum(self.sizes)
+        self.number = number
+        order = np.argsort(number, kind="stable")
+        self.members = owner[order]
+        self.first = np.searchsorted(number[order], np.arange(int(number.max()) + 2))
 
-    for i, (key, code, size, _) in enumerate(members):
-        for j in tree.within(code & 0xFFFFFFFFFFFFFFFF, REACH):
-            a, b = root(i), root(j)
-            if a != b and min(size, members[j][2]) >= RESEMBLANCE * max(size, members[j][2]) and resemblance(sketches[i], sketches[j], size, members[j][2]) >= RESEMBLANCE:
-                parent[a] = b
-                links.append((key, members[j][0]))
-        tree.add(code & 0xFFFFFFFFFFFFFFFF)
+    def common(self, i: int) -> np.ndarray:
+        mine = self.number[self.ends[i] - self.sizes[i] : self.ends[i]]
+        n = self.first[mine + 1] - self.first[mine]
+        to = np.cumsum(n)
+        held = self.members[np.repeat(self.first[mine] - (to - n), n) + np.arange(to[-1])]
+        return np.bincount(held, minlength=len(self.sizes))
+
+
+def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """Links that unite all members (set, print, size, sketch) that resemble one another within the tree's reach.
+
+    Only members of other parts are compared; where the first few of them don't
+    unite with a member, its common counts with all come from postings at once."""
+    tree, links = BKTree(), []
+    sketches = [np.unique(np.frombuffer(m[3], np.uint32)) for m in members]
+    sizes = np.array([m[2] for m in members])
+    part = np.arange(len(members))
+    postings: _Postings | None = None
+
+    def alike(i: int, j: int) -> bool:
+        a, b = int(sizes[i]), int(sizes[j])
+        return min(a, b) >= RESEMBLANCE * max(a, b) and resemblance(sketches[i], sketches[j], a, b) >= RESEMBLANCE
+
+    def unite(i: int, j: int) -> None:
+        links.append((members[i][0], members[j][0]))
+        part[part == part[i]] = part[j]
+
+    for i, (_, code, size, _) in enumerate(members):
+        code &= 0xFFFFFFFFFFFFFFFF
+        near = np.array(tree.within(code, REACH), np.int64)
+        tree.add(code)
+        for _ in range(3):
+            near = near[part[near] != part[i]]
+            if not len(near):
+                break
+            j, near = int(near[0]), near[1:]
+            if alike(i, j):
+                unite(i, j)
+        near = near[part[near] != part[i]]
+        if not len(near):
+            continue
+        postings = postings or _Postings(sketches)
+        common = postings.common(i)[near]
+        exact = (size <= SKETCH) & (sizes[near] <= SKETCH)
+        good = common >= RESEMBLANCE * (len(sketches[i]) + postings.sizes[near] - common)
+        for j in near[exact & good].tolist():
+            if part[j] != part[i]:
+                unite(i, j)
+        # Sketches of sets beyond them hold most of what the sets share, or the sets aren't alike.
+        for j in near[~exact & (2 * common >= postings.sizes[near])].tolist():
+            if part[j] != part[i] and alike(i, j):
+                unite(i, j)
     return links
 
 
@@ -352,5 +400,5 @@ def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_sha
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows that resemble a row of smaller key through links; rows without key or words stay."""
-    gone = resembling(docs, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    gone = resembling(docs, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("__gone")).distinct()
+    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
