@@ -63,7 +63,7 @@ def contents(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
 
 
 def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
-    """(h, ch, doc, s, n): every run of every document: anchor, content, first window and windows."""
+    """(h, ch, doc, s, n, a): every run of every document: anchor, content, first window, windows, and the anchor's place in the run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,15 +71,15 @@ def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
                 h, first, grams = items(data, offsets)
                 row, start, n, at = runs(grams, first, window, k)
                 ids = rows.column(rows.schema.get_field_index("doc")).to_numpy(zero_copy_only=False)
-                columns = [grams[at].view(np.int64), contents(h, start, n + window - 1).view(np.int64), ids[row].astype(np.int64), (start - first[row]).astype(np.int64), n.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "ch", "doc", "s", "n"])
+                columns = [grams[at].view(np.int64), contents(h, start, n + window - 1).view(np.int64), ids[row].astype(np.int64), (start - first[row]).astype(np.int64), n.astype(np.int32), (at - start).astype(np.int16)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "ch", "doc", "s", "n", "a"])
 
-    return docs.mapInArrow(run, "h long, ch long, doc long, s long, n int")
+    return docs.mapInArrow(run, "h long, ch long, doc long, s long, n int, a short")
 
 
 def suspects(found: DataFrame, across: bool) -> DataFrame:
     """The runs whose anchor occurs again (across: in another document), as a table."""
-    again = found.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b") if across else found.groupBy("h").agg(F.count("*").alias("a")).where("a > 1")
+    again = found.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high") if across else found.groupBy("h").agg(F.count("*").alias("runs")).where("runs > 1")
     return cut(found.join(again.select("h"), "h"), "suspects")
 
 
@@ -88,8 +88,8 @@ def split_known(found: DataFrame, across: bool) -> tuple[DataFrame, DataFrame]:
     place = F.struct("doc") if across else F.struct("doc", "s")
     firsts = found.groupBy("h", "ch").agg(F.min(place).alias("first"))
     several = firsts.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1")
-    marked = cut(found.join(firsts, ["h", "ch"]).select("h", "doc", "s", "n", (place > F.col("first")).alias("later")), "runs")
-    return marked.where("later").select("doc", "s", "n"), marked.where("NOT later").join(several, "h").select("h", "doc", "s", "n", "contents")
+    marked = cut(found.join(firsts, ["h", "ch"]).select("h", "doc", "s", "n", "a", (place > F.col("first")).alias("later")), "runs")
+    return marked.where("later").select("doc", "s", "n"), marked.where("NOT later").join(several, "h").select("h", "doc", "s", "n", "a", "contents")
 
 
 def by_document(ranges: DataFrame, *more: str) -> DataFrame:
@@ -99,20 +99,20 @@ def by_document(ranges: DataFrame, *more: str) -> DataFrame:
 
 def with_contents(docs: DataFrame, open_runs: DataFrame, cutter: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], list[bytes]]) -> DataFrame:
     """open_runs with column body: cutter(one text's bytes, its offsets, starts, windows) gives the bytes of each run."""
-    wanted = docs.join(by_document(open_runs, "h", "contents"), "doc").select("doc", "text", "ranges")
+    wanted = docs.join(by_document(open_runs, "h", "contents", "a"), "doc").select("doc", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text", 1 << 20):
                 lists = rows.column(2)
                 counts = np.diff(lists.offsets.to_numpy())
-                s, n, h, c = (lists.flatten().field(i) for i in range(4))
+                s, n, h, c, a = (lists.flatten().field(i) for i in range(5))
                 starts, sizes = s.to_numpy(), n.to_numpy().astype(np.int64)
                 row = np.repeat(np.arange(rows.num_rows), counts)
                 body = cutter(data, offsets, row, starts, sizes)
-                yield pa.RecordBatch.from_arrays([h, rows.column(0).take(pa.array(row)), s, n, c, pa.array(body, pa.binary())], names=["h", "doc", "s", "n", "contents", "body"])
+                yield pa.RecordBatch.from_arrays([h, rows.column(0).take(pa.array(row)), s, n, a, c, pa.array(body, pa.binary())], names=["h", "doc", "s", "n", "a", "contents", "body"])
 
-    return wanted.mapInArrow(run, "h long, doc long, s long, n int, contents long, body binary")
+    return wanted.mapInArrow(run, "h long, doc long, s long, n int, a short, contents long, body binary")
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -54,21 +54,13 @@ def extended(mine: list[bytes], seed: int, hub: list[bytes], hub_seed: int) -> t
     return seed - left, seed + right
 
 
-def _seed(tokens: list[bytes], h: int) -> int:
-    """Place of the anchor in a run."""
-    raw = np.frombuffer(b" ".join(tokens), np.uint8)
-    grams = _items(raw, np.array([0, len(raw)]))[2]
-    return int(np.flatnonzero(grams == np.int64(h).view(np.uint64))[0])
-
-
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each run and its hub: the windows to remove (w null), and those the hub leaves open (w: a window's hash)."""
     for batch in batches:
         out: list[tuple[int, int, int, int, int | None]] = []
         for x in batch.to_pylist():
             tokens, hub = x["body"].split(b" "), x["hub"]["body"].split(b" ")
-            seed = _seed(tokens, x["h"])
-            a, b = extended(tokens, seed, hub, _seed(hub, x["h"]))
+            a, b = extended(tokens, x["a"], hub, x["hub"]["a"])
             n = b - a - WINDOW + 1
             if n > 0 and x["hub"]["doc"] < x["doc"]:
                 out.append((x["h"], x["doc"], x["s"] + a, n, None))
@@ -86,7 +78,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     known = docs.where("doc IS NOT NULL")
     later, open_runs = repeats.split_known(repeats.suspects(repeats.records(known, _items, WINDOW, SEED_WORDS), across=True), across=True)
     bodies = cut(repeats.with_contents(known, open_runs, _bodies), "seeds")
-    hubs = bodies.groupBy("h").agg(F.min(F.struct("doc", "s", "body")).alias("hub"))
+    hubs = bodies.groupBy("h").agg(F.min(F.struct("doc", "s", "a", "body")).alias("hub"))
     beside = bodies.join(hubs, "h").where("doc != hub.doc OR s != hub.s")
     found = cut(beside.mapInArrow(_extend, "h long, doc long, s long, n int, w long"), "matches")
     rest = found.where("w IS NOT NULL")
