@@ -6,8 +6,9 @@ whole. What is left, the first runs of each content under an anchor with
 several contents, is where one passage ends inside a run: few rows, and the
 only ones whose content travels. They go to the operator's own method.
 
-Rows that share an anchor never meet in one task: counts are pre-aggregated,
-and hot anchors and contents are split by adaptive skew joins.
+Rows that share an anchor never meet in one task: counts are pre-aggregated and
+written, so that every join has an exchange on both sides, which adaptive skew
+joins can split where an anchor or a content is hot.
 """
 
 from __future__ import annotations
@@ -80,14 +81,14 @@ def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
 def suspects(found: DataFrame, across: bool) -> DataFrame:
     """The runs whose anchor occurs again (across: in another document), as a table."""
     again = found.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high") if across else found.groupBy("h").agg(F.count("*").alias("runs")).where("runs > 1")
-    return cut(found.join(again.select("h"), "h"), "suspects")
+    return cut(found.join(cut(again.select("h"), "anchors"), "h"), "suspects")
 
 
 def split_known(found: DataFrame, across: bool) -> tuple[DataFrame, DataFrame]:
     """(runs whose whole content came earlier, first runs of contents under anchors that have several), as tables."""
     place = F.struct("doc") if across else F.struct("doc", "s")
-    firsts = found.groupBy("h", "ch").agg(F.min(place).alias("first"))
-    several = firsts.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1")
+    firsts = cut(found.groupBy("h", "ch").agg(F.min(place).alias("first")), "contents")
+    several = cut(firsts.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1"), "several")
     marked = cut(found.join(firsts, ["h", "ch"]).select("h", "doc", "s", "n", "a", (place > F.col("first")).alias("later")), "runs")
     return marked.where("later").select("doc", "s", "n"), marked.where("NOT later").join(several, "h").select("h", "doc", "s", "n", "a", "contents")
 

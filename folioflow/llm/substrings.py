@@ -78,12 +78,12 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     known = docs.where("doc IS NOT NULL")
     later, open_runs = repeats.split_known(repeats.suspects(repeats.records(known, _items, WINDOW, SEED_WORDS), across=True), across=True)
     bodies = cut(repeats.with_contents(known, open_runs, _bodies), "seeds")
-    hubs = bodies.groupBy("h").agg(F.min(F.struct("doc", "s", "a", "body")).alias("hub"))
+    hubs = cut(bodies.groupBy("h").agg(F.min(F.struct("doc", "s", "a", "body")).alias("hub")), "hubs")
     beside = bodies.join(hubs, "h").where("doc != hub.doc OR s != hub.s")
     found = cut(beside.mapInArrow(_extend, "h long, doc long, s long, n int, w long"), "matches")
     rest = found.where("w IS NOT NULL")
-    firsts = rest.groupBy("h", "w").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("h", "w", "a")
-    thirds = rest.join(firsts, ["h", "w"]).where("doc > a")
+    firsts = cut(rest.groupBy("h", "w").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("h", "w", "low"), "firsts")
+    thirds = rest.join(firsts, ["h", "w"]).where("doc > low")
     return later.unionByName(found.where("w IS NULL").select("doc", "s", "n")).unionByName(thirds.select("doc", "s", "n"))
 
 
