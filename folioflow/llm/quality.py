@@ -3,7 +3,14 @@
 Each distinct word of a slice is split once by a public subword vocabulary with
 byte fallback. A document's characters per token, share of byte-fallback tokens
 and token entropy (bits over the logarithm of its tokens, 0 to 1) must lie in
-the band of its main script, wide enough for any plain prose of that script.
+the band of its main script, wide enough for any plain prose of that script,
+and within robust limits of its group (script and, where there is such a
+column, lang). The limits come from all documents that pass the base rules,
+equal measures counted once: medians and absolute deviations of characters per
+token and of entropy less its median at that length. Deviations are taken over
+their usual size at a text's length, so limits widen as texts get shorter. A
+document goes if either measure, or both together, lie over LIMIT deviations
+low. Groups of under MIN_GROUP different documents have the bands only.
 
 Edge cases: null and empty texts have no words, no measures (null) and fail the
 base rules; short texts (under MIN_TOKENS tokens) aren't judged by fertility;
@@ -18,9 +25,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import SEPARATOR, distinct_slices, mixed, run_starts, slices, window_hashes, words
+from .common import SEPARATOR, cut, distinct_slices, mixed, run_starts, slices, window_hashes, words
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -30,6 +37,12 @@ CACHE_WORDS = 300_000
 #: script -> (least and most characters per token, most byte-fallback share, least relative entropy)
 BANDS = {"latin": (1.15, 8.0, 0.10, 0.35), "cyrillic_greek": (0.9, 8.0, 0.25, 0.35), "cjk": (0.3, 4.0, 0.75, 0.35), "other": (0.25, 8.0, 0.95, 0.30), "none": (0.8, 8.0, 0.50, 0.30)}
 SCRIPTS = tuple(BANDS)
+#: Deviations below a group's median at which a text goes, and different documents that a group's limits take.
+LIMIT, MIN_GROUP = 2.75, 30
+#: A measure's deviation grows as sqrt(1 + this / tokens): characters per token, entropy. Least deviations of long texts, for groups of near copies.
+SHORT, LEAST = (4800.0, 30.0), (0.01, 0.015)
+#: Powers of two of a text's tokens by which entropy is centred.
+LENGTHS = 48
 
 RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, chars_per_token double, byte_share double, token_entropy double, kept boolean"
 
@@ -110,6 +123,7 @@ class Rules:
         floor = least * np.minimum(1.0, 10 / np.log2(np.maximum(n_tokens, 2)))
         good = (chars >= low) & (chars <= high) & (byte_share <= most) & (entropy >= floor)
         out["script"] = np.array(SCRIPTS, object)[script]
+        out["__tokens"] = n_tokens
         known = n_tokens > 0
         out |= {"chars_per_token": np.where(known, chars, np.nan), "byte_share": np.where(known, byte_share, np.nan), "token_entropy": np.where(known, entropy, np.nan)}
         out["kept"] = ~out["base_failed"] & (good | (n_tokens < MIN_TOKENS))
@@ -145,21 +159,52 @@ def _repeated(of: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows[np.cumsum(cover[:-1]) > 0], minlength=n)
 
 
+def _deviation(column: str) -> Column:
+    """The robust standard deviation about zero."""
+    return 1.4826 * F.percentile_approx(F.abs(F.col(column)), 0.5, 10_000)
+
+
+def _limited(measured: DataFrame) -> DataFrame:
+    """measured with __low: whether a row lies below the robust limits of its __group."""
+    n = F.col("__tokens")
+    seen = measured.where("NOT base_failed AND __tokens > 1").select("__group", "__tokens", "chars_per_token", "token_entropy").distinct()
+    at = {r[0]: r[1] for r in seen.groupBy(F.floor(F.log2(n)).cast("int")).agg(F.percentile_approx("token_entropy", 0.5, 10_000)).collect()}
+    middle = np.interp(np.arange(LENGTHS + 2), sorted(at), [at[k] for k in sorted(at)]) if at else np.zeros(LENGTHS + 2)
+    x = F.greatest(F.log2(F.greatest(n, F.lit(1))) - 0.5, F.lit(0.0))
+    i = F.least(F.floor(x), F.lit(LENGTHS)).cast("int")
+    points = F.array(*map(F.lit, middle.tolist()))
+    usual = F.get(points, i) + (x - i) * (F.get(points, i + 1) - F.get(points, i))
+    wide = [F.sqrt(1 + F.lit(k) / F.greatest(n, F.lit(1))) for k in SHORT]
+    seen = seen.withColumn("over", F.col("token_entropy") - usual)
+    centres = seen.groupBy("__group").agg(F.percentile_approx("chars_per_token", 0.5, 10_000).alias("__chars"), F.percentile_approx("over", 0.5, 10_000).alias("__over"), F.count("*").alias("__n")).where(F.col("__n") >= MIN_GROUP)
+    off = seen.join(F.broadcast(centres), "__group").select("__group", ((F.col("chars_per_token") - F.col("__chars")) / wide[0]).alias("c"), ((F.col("over") - F.col("__over")) / wide[1]).alias("e"))
+    spread = off.groupBy("__group").agg(F.greatest(_deviation("c"), F.lit(LEAST[0])).alias("__c"), F.greatest(_deviation("e"), F.lit(LEAST[1])).alias("__e"))
+    joined = measured.join(F.broadcast(centres.join(spread, "__group")), "__group", "left")
+    c = (F.col("chars_per_token") - F.col("__chars")) / wide[0] / F.col("__c")
+    e = (F.col("token_entropy") - usual - F.col("__over")) / wide[1] / F.col("__e")
+    return joined.withColumn("__low", F.coalesce(F.least(c, e, (c + e) / 2**0.5) < -LIMIT, F.lit(False)))
+
+
 def judge(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """docs (all columns, or those named in keep) with each row's counts, measures and verdict."""
     result = T.StructType.fromDDL(RESULT)
     own = {f.name for f in result.fields}
     kept = [f for f in docs.schema.fields if f.name not in own and (keep is None or f.name in keep)]
-    schema = T.StructType([*kept, *result.fields])
+    extra = T.StructType.fromDDL("__tokens long, __group string").fields
+    schema = T.StructType([*kept, *result.fields, *extra])
+    lang = next((f.name for f in docs.schema.fields if f.name == "lang" and f.dataType == T.StringType()), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = Rules(vocabulary)
         for batch in batches:
             for rows, data, offsets in slices(batch, text):
                 found = rules(data, offsets)
+                langs = rows.column(rows.schema.get_field_index(lang)).to_pylist() if lang else [None] * rows.num_rows
+                found["__group"] = np.array([f"{s} {x or ''}" for s, x in zip(found["script"], langs)], object)
                 columns = [rows.column(rows.schema.get_field_index(f.name)) for f in kept]
-                for f in result.fields:
+                for f in [*result.fields, *extra]:
                     columns.append(pa.array(found[f.name], from_pandas=True))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    return docs.mapInArrow(run, schema)
+    measured = _limited(cut(docs.mapInArrow(run, schema), "measures"))
+    return measured.withColumn("kept", F.col("kept") & ~F.col("__low")).select(*[F.col(f"`{f.name}`") for f in [*kept, *result.fields]])

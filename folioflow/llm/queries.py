@@ -57,7 +57,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .quality import judge
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id",))
 
 
