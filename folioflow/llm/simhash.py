@@ -228,13 +228,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return prints.join(named, F.col("fingerprint") == F.col("fp")).select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Of stage near-dedup: words of a shingle, least resemblance, shingles of a sketch, shards of a text, and bits that a BK-tree query reaches.
-STAGE_SHINGLE, RESEMBLANCE, SKETCH, SHARDS, REACH = 5, 0.8, 1024, 4, 22
+#: Of stage near-dedup: words of a shingle, least resemblance, shards of a text, and bits that a BK-tree query reaches.
+STAGE_SHINGLE, RESEMBLANCE, SHARDS, REACH = 5, 0.8, 4, 22
 _TURNS = np.random.default_rng(20240617).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of its SKETCH least hashes, and 8 least hashes under as many turns.
+    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of all its hashes, and 8 least hashes under as many turns.
 
     A row under a shingle long is one shingle of all its words; a row without words has size 0."""
     n = len(offsets) - 1
@@ -269,17 +269,13 @@ def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SH
             least[i, some] = np.minimum.reduceat(mixed(h * turn), at)
     ends_ = np.cumsum(sizes)
     short_ = (h >> np.uint64(32)).astype(np.uint32)
-    sketches = [short_[b - s : min(b, b - s + SKETCH)].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
+    sketches = [short_[b - s : b].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
     return prints, sets, sizes, sketches, least
 
 
-def resemblance(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> float:
-    """Share of common shingles: exact for sets that fit their sketches, else from the SKETCH least hashes of the union."""
-    union = np.union1d(a, b)
-    if size_a > SKETCH or size_b > SKETCH:
-        union = union[:SKETCH]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return np.isin(union, both, assume_unique=True).sum() / max(len(union), 1)
+def resemble(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes a and b with so many common shingles have the least resemblance."""
+    return common >= RESEMBLANCE * (a + b - common)
 
 
 class _Postings:
@@ -304,25 +300,25 @@ class _Postings:
 
 
 def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
-    """Links that unite all members (set, print, size, sketch) that resemble one another within the tree's reach.
+    """Links that unite all members (set, print, size, hashes) that resemble one another within the tree's reach.
 
     Only members of other parts are compared; where the first few of them don't
     unite with a member, its common counts with all come from postings at once."""
     tree, links = BKTree(), []
     sketches = [np.unique(np.frombuffer(m[3], np.uint32)) for m in members]
-    sizes = np.array([m[2] for m in members])
+    sizes = np.array([len(x) for x in sketches])
     part = np.arange(len(members))
     postings: _Postings | None = None
 
     def alike(i: int, j: int) -> bool:
         a, b = int(sizes[i]), int(sizes[j])
-        return min(a, b) >= RESEMBLANCE * max(a, b) and resemblance(sketches[i], sketches[j], a, b) >= RESEMBLANCE
+        return min(a, b) >= RESEMBLANCE * max(a, b) and bool(resemble(len(np.intersect1d(sketches[i], sketches[j], assume_unique=True)), a, b))
 
     def unite(i: int, j: int) -> None:
         links.append((members[i][0], members[j][0]))
         part[part == part[i]] = part[j]
 
-    for i, (_, code, size, _) in enumerate(members):
+    for i, (_, code, _, _) in enumerate(members):
         code &= 0xFFFFFFFFFFFFFFFF
         near = np.array(tree.within(code, REACH), np.int64)
         tree.add(code)
@@ -338,15 +334,9 @@ def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int,
             continue
         postings = postings or _Postings(sketches)
         common = postings.common(i)[near]
-        exact = (size <= SKETCH) & (sizes[near] <= SKETCH)
-        good = common >= RESEMBLANCE * (len(sketches[i]) + postings.sizes[near] - common)
-        for j in near[exact & good].tolist():
+        for j in near[resemble(common, sizes[i], sizes[near])].tolist():
             if part[j] != part[i]:
                 unite(i, j)
-        # Sketches of sets beyond them hold most of what the sets share, or the sets aren't alike.
-        for j in near[~exact & (2 * common >= postings.sizes[near])].tolist():
-            if part[j] != part[i] and alike(i, j):
-                unite(i, j)
     return links
 
 
@@ -357,7 +347,8 @@ def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_sha
     least hash of its shingles under as many turns: two texts share one with
     1 - (1 - resemblance) ** SHARDS, 0.998 at 0.8. A shard over max_shard nodes
     is cut again by other turns in the same way. Inside, a BK-tree over the
-    SimHashes finds whom to compare, and sketches decide. Rows without words
+    SimHashes finds whom to compare, and the whole sets of shingle hashes
+    decide, whatever their size. Rows without words
     and rows without a key resemble nothing."""
     schema = "key long, fp long, st long, size long, sketch binary, turns array<long>"
 

@@ -141,3 +141,15 @@ def test_one_of_each_resembling(docs):
     got = simhash.one_of_each(df)
     assert got.columns == df.columns
     assert {r["doc_id"] for r in got.select(F.col("doc_id")).collect()} == want
+
+
+def test_long_texts_are_compared_exactly(spark):
+    rng = random.Random(9)
+    rows, want = [], set()
+    for k in range(20):
+        words = [f"{rng.getrandbits(40):x}" for _ in range(5004)]
+        # 4,000 of 5,000 shingles, or one less
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: 4004 - k % 2]))]
+        want |= {2 * k, *([2 * k + 1] if k % 2 else [])}
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in got.select("doc_id").collect()} == want
