@@ -87,6 +87,19 @@ def visible_prose_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return math_texts(spark, sf_dir).where("p_partkey % 8 IN (3, 6)").select("p_partkey", visible_prose(F.col("text")).alias("prose"))
 
 
+@query("""SELECT p_partkey, CASE p_partkey % 8
+  WHEN 0 THEN 'area' || repeat(' ', 6 + len(p_size::VARCHAR)) || 'units'
+  WHEN 1 THEN 'cost ' || repeat(' ', 7 + len(p_size::VARCHAR)) || '10'
+  WHEN 2 THEN 'code ' || repeat(' ', 4 + len(p_size::VARCHAR)) || ' end'
+  WHEN 3 THEN NULL
+  WHEN 4 THEN 'pay \\$ and ' || repeat(' ', 4 + len(p_size::VARCHAR)) || '.'
+  WHEN 5 THEN repeat(' ', 7) || ' and ' || repeat(' ', 5 + len(p_size::VARCHAR))
+  WHEN 6 THEN 'tag ' || repeat(' ', 14 + len(p_size::VARCHAR)) || ' and ' || repeat(' ', 9) || 'a'
+  ELSE 'pipe ' || repeat(' ', 5) || ' with ' || repeat(' ', 2 + len(p_size::VARCHAR)) END AS prose FROM part""")
+def visible_prose_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return math_texts(spark, sf_dir).select("p_partkey", visible_prose(F.col("text")).alias("prose"))
+
+
 @query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 1 WHEN 5 THEN 1 WHEN 6 THEN 1 ELSE 2 END::BIGINT AS spans FROM part""")
 def inline_math_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = column(lambda t: len(inline_formulas(t)), "long")
@@ -239,6 +252,16 @@ def table_html_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.where(export.table_markdown(F.col("t")) == F.col("html")).select("l_orderkey", "n")
 
 
+@query(f"""SELECT l_orderkey, CASE WHEN l_orderkey % 7 IN (3, 5, 6) THEN CASE WHEN l_orderkey % 7 = 3 THEN '|  |  |' ELSE '| part | flag |' END || chr(10) || '| --- | --- |' || chr(10) ||
+  string_agg('| ' || l_partkey || ' | ' || l_returnflag || '\\|' || l_linestatus || '\\_ |', chr(10) ORDER BY {LINES})
+  ELSE '<table>' || CASE l_orderkey % 7 WHEN 0 THEN '<tr><th colspan="2">part</th><th>flag</th></tr>' WHEN 1 THEN '<tr><th>part</th></tr>' WHEN 2 THEN '<tr><th><b>part</b></th><th>flag</th></tr>'
+  ELSE '<caption>c</caption><tr><th>part</th><th>flag</th></tr>' END || '<tbody>' || string_agg('<tr><td>' || l_partkey || '</td><td>' || l_returnflag || '|' || l_linestatus || '_</td></tr>', '' ORDER BY {LINES}) || '</tbody></table>' END AS markdown
+  FROM lineitem GROUP BY l_orderkey""")
+def table_markdown_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = order_tables(spark, sf_dir).withColumn("t", markup.table_content(F.col("html")))
+    return t.select("l_orderkey", export.table_markdown(F.col("t")).alias("markdown"))
+
+
 def match_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A match list of each region's first eight nations; numerals missing where n_nationkey % 5 = 0."""
     from pyspark.sql import Window as W
