@@ -2,7 +2,9 @@
 
 Fixed forms: assignments to a secret's name, access keys, long hexadecimal
 runs. The battery looks at every other run of 20 or more base64-like
-characters that holds at least two kinds of character. Its encoding (hex,
+characters that holds at least two kinds of character. A run that fits no
+alphabet is split at an inner '=' (name=value) and, where a part mixes '_' or '-'
+with '/' or '+', at either pair: of both splits, all parts of 20 or more are tested. Its encoding (hex,
 base32, base62, base64) fixes an alphabet; three tests ask whether the run
 looks drawn uniformly from it: chi-squared over the alphabet in equal cells,
 runs above and below the alphabet's middle, and serial correlation at lag 1.
@@ -35,6 +37,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RANDOM)
+#: Between inner '=' (padding stays), and clear of either pair that only one of the base64 alphabets has.
+VALUE = re.compile(r"[^=]+(?:=+$)?")
+FOREIGN = (re.compile(r"[^/+]+"), re.compile(r"[^_-]+"))
 NAMES = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
 
 #: Alphabets by encoding, smallest first.
@@ -111,16 +116,30 @@ def battery(run: str) -> tuple[float, float, float]:
     return chi, runs_p, serial
 
 
+def parts(run: str) -> list[tuple[int, int]]:
+    """Spans of the parts of a run to test: itself if an alphabet has all of it."""
+    if encoding(run):
+        return [(0, len(run))]
+    found = set()
+    for m in VALUE.finditer(run):
+        splits = [VALUE] if encoding(m[0]) else FOREIGN
+        found |= {(m.start() + x.start(), m.start() + x.end()) for split in splits for x in split.finditer(m[0])}
+    return sorted(x for x in found if x[1] - x[0] >= MIN_RANDOM)
+
+
 def random_runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs that the battery and the false-discovery control leave, clear of the spans taken."""
     found: dict[int, list[tuple[float, int, int]]] = {}
     for m in RUN.finditer(text):
-        run = m[0]
-        if len({_kind(c) for c in run}) < 2 or any(a < m.end() and m.start() < b for a, b in taken):
-            continue
-        name = encoding(run)
-        ratio = -1e9 if name is None else -len(run.rstrip("=")) * math.log(len(ALPHABETS[name])) - _prose_log(run.rstrip("="))
-        found.setdefault(len(run).bit_length(), []).append((ratio, *m.span()))
+        for a, b in parts(m[0]):
+            run, a, b = m[0][a:b], m.start() + a, m.start() + b
+            if len({_kind(c) for c in run}) < 2 or any(x < b and a < y for x, y in taken):
+                continue
+            name, body = encoding(run), run.rstrip("=")
+            if name is None:
+                continue
+            ratio = -len(body) * math.log(len(ALPHABETS[name])) - _prose_log(body)
+            found.setdefault(len(run).bit_length(), []).append((ratio, a, b))
     out = []
     for runs in found.values():
         runs.sort(reverse=True)
@@ -128,7 +147,12 @@ def random_runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]
         # e-BH: the most k whose k-th largest e-value is at least m / (FDR * k)
         k = max((i for i, (ratio, *_) in enumerate(runs, 1) if ratio >= math.log(m / (FDR * i))), default=0)
         out += [(a, b) for _, a, b in runs[:k] if min(battery(text[a:b])) >= ALPHA_TEST]
-    return out
+    # Of parts that overlap, the longest stays.
+    clear: list[tuple[int, int]] = []
+    for a, b in sorted(out, key=lambda x: (x[0] - x[1], x[0])):
+        if not any(x < b and a < y for x, y in clear):
+            clear.append((a, b))
+    return clear
 
 
 def spans(text: str | None) -> list[tuple[int, int, str]]:

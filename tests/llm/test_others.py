@@ -185,6 +185,19 @@ def test_randomness():
         assert not [x for x in secrets.spans(plain) if x[2] == "random"], plain
 
 
+@pytest.mark.parametrize("before", ["client_key=", "sig=", "AccountKey=", "my_dir/", "a-b/c_d/"])
+@pytest.mark.parametrize("more", ["", "+/", "-_"])
+def test_random_values_behind_names_and_paths(before, more):
+    rng = random.Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + more
+    hits = 0
+    for _ in range(100):
+        key = "".join(rng.choice(alphabet) for _ in range(40))
+        text = f"see {before}{key} here"
+        hits += any(k == "random" and text[a:b].endswith(key[-20:]) for a, b, k in secrets.spans(text))
+    assert hits >= 90
+
+
 # --- registered queries and the pipeline ---------------------------------------------
 
 
