@@ -31,8 +31,6 @@ DIMENSION = 16
 EPOCHS, RATE, SEED = 6, 4.0, 20240611
 #: At most so many labelled rows are learned from.
 MAX_ROWS = 6000
-#: Training reads so many features of a document, spread evenly over its whole length.
-MAX_FEATURES = 20_000
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,8 +80,6 @@ def train(texts: pa.Array, labels: np.ndarray, *, epochs: int = EPOCHS, rate: fl
     data, offsets = utf8(texts)
     for i in range(len(labels)):
         buckets, _ = features(data[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]))
-        if len(buckets) > MAX_FEATURES:
-            buckets = buckets[np.linspace(0, len(buckets) - 1, MAX_FEATURES).astype(np.int64)]
         at, counts = np.unique(buckets, return_counts=True)
         prepared.append((at, (counts / max(len(buckets), 1)).astype(np.float32)))
     steps, done = epochs * len(labels), 0

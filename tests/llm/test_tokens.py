@@ -113,3 +113,16 @@ def test_sample_leaves_out_held_out_and_contradictory_rows(spark):
     labels = spark.createDataFrame([(0, 1), (1, 1), (1, 0), (2, 0), (3, None), (4, 7), (5, 1)], "doc_id long, quality int")
     texts, y = classifier.labelled_sample(docs, labels, lambda key: key == 5)
     assert (texts.to_pylist(), y.tolist()) == (["t0", "t2"], [1, 0])
+
+
+def test_training_reads_long_texts_whole(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    long = " ".join(f"w{i}" for i in range(3000))
+    seen = []
+    unique = np.unique
+    monkeypatch.setattr(classifier.np, "unique", lambda x, **more: seen.append(len(x)) or unique(x, **more))
+    classifier.train(pa.array([long, "a b c"]), np.array([0, 1]), epochs=1)
+    data = np.frombuffer(long.encode(), np.uint8)
+    assert max(seen) == len(classifier.features(data, np.array([0, len(data)]))[0]) > 20_000
