@@ -13,7 +13,8 @@ document goes if either measure, or both together, lie over LIMIT deviations
 low. Groups of under MIN_GROUP different documents have the bands only.
 
 Edge cases: null and empty texts have no words, no measures (null) and fail the
-base rules; short texts (under MIN_TOKENS tokens) aren't judged by fertility;
+base rules; short texts (under MIN_TOKENS tokens) are
+held to the robust limits, not to the bands;
 repeated rows count each on their own; other columns pass through unless they
 bear a result's name.
 """
