@@ -7,12 +7,18 @@ every document k times, and once more those that fill f epochs along the
 source's documents in a seeded order (the last of them in part, so that a
 source's taken words are its rounded target).
 
-The order is a running sum over 4,096 hash buckets of each source, and by
-document only inside the one bucket where the target is reached.
+The place where a source's last repetition stops is found through levels of 256
+hash buckets, each level inside the bucket that the one before found; every row
+is then compared with its source's stop. So one task orders at most 256 buckets
+of a source, however many rows it has.
+
+Bound: targets() ranks all sources in one task, one narrow row each.
 
 Edge cases: a null text has size 0; null is a source of its own, last; empty
-documents and sources take nothing; repeated rows count each time; an empty
-table gives an empty mix; other columns pass through.
+documents and sources take nothing; repeated rows count each time, and those
+equal in key and size share a last part evenly, rounded; rows with a null key are
+mixed as rows of one key; an empty table gives an empty mix; other columns
+pass through repeated(), whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +31,8 @@ MAX_EPOCHS = 3
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
 SEED = 20240607
-BUCKET_DIGITS = 3
+#: Hexadecimal digits of a level of buckets, and levels.
+DIGITS, LEVELS = 2, 4
 
 
 def size_of(text: Column) -> Column:
@@ -54,45 +61,63 @@ def targets(source_sizes: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tupl
     return levels.withColumn("found", level).select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("found") * F.col("weight")).alias("target"))
 
 
+def _sized(docs: DataFrame, source: str, key: str, text: str, seed: int) -> DataFrame:
+    """docs with __source, __size and __turn, its place in the source's order."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))).cast("binary"))
+    return docs.withColumns({"__source": F.col(source).cast("string"), "__size": size_of(F.col(text)), "__turn": digest})
+
+
+def _stops(sized: DataFrame, max_epochs: int, weights: tuple[int, ...]) -> DataFrame:
+    """One row a source: its target, whole repetitions, and where along its order the last repetition stops.
+
+    Level by level: of the 256 parts of the bucket found so far, the one in which
+    the target is reached. So no window orders more than 256 rows of a source,
+    the last apart, which orders the rows that agree in LEVELS * DIGITS digits."""
+    sized = sized.select("__source", "__size", "__turn")
+    prefix = lambda level: F.substring("__turn", 1, DIGITS * level)
+    carried = ["source_size", "target", "whole", "rest"]
+    goals = targets(sized.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size")), max_epochs, weights).withColumn("goal", F.round("target").cast("long"))
+    whole = F.when(F.col("source_size") > 0, F.expr("goal div source_size")).otherwise(F.lit(0)).cast("long")
+    found = goals.withColumn("whole", whole).select(F.col("source").alias("of"), "source_size", "target", "whole", (F.col("goal") - F.col("whole") * F.col("source_size")).alias("rest"), F.lit("").alias("stop"), F.lit(0).cast("long").alias("before"))
+    for level in range(1, LEVELS + 2):
+        last = level > LEVELS
+        parts = ["turn", "size"] if last else ["part"]
+        place = [F.col("__turn").alias("turn"), F.col("__size").alias("size")] if last else [prefix(level).alias("part")]
+        inside = sized.join(found, F.col("__source").eqNullSafe(F.col("of")) & (prefix(level - 1) == F.col("stop")))
+        sums = inside.groupBy("of", *carried, "before", *place).agg(F.sum("__size").alias("words"), F.count("*").alias("equal"))
+        by = W.partitionBy("of").orderBy(*parts)
+        reached = sums.withColumn("upto", F.col("before") + F.sum("words").over(by.rowsBetween(W.unboundedPreceding, W.currentRow))).where("upto >= rest")
+        first = reached.withColumn("n", F.row_number().over(by)).where("n = 1").withColumn("before", F.col("upto") - F.col("words"))
+        found = first.select("of", *carried, "before", *([F.col("turn").alias("stop_turn"), F.col("size").alias("stop_size"), "equal"] if last else [F.col("part").alias("stop")]))
+    return found.withColumn("left", F.col("rest") - F.col("before"))
+
+
+def _taken(sized: DataFrame, stops: DataFrame) -> DataFrame:
+    """sized with its source's row of stops and __taken: each row against its source's stop, so without any order of rows."""
+    joined = sized.join(stops, F.col("__source").eqNullSafe(F.col("of")))
+    here = F.struct("__turn", "__size")
+    stop = F.struct(F.col("stop_turn").alias("__turn"), F.col("stop_size").alias("__size"))
+    share = F.least(F.col("__size"), F.round(F.col("left") / F.col("equal")).cast("long"))
+    more = F.when(here < stop, F.col("__size")).when(here == stop, share).otherwise(F.lit(0))
+    return joined.withColumn("__taken", F.col("whole") * F.col("__size") + more)
+
+
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text", *, seed: int = SEED, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """(key, size, source_size, target, taken) of every row of docs."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))).cast("binary"))
-    sized = cut(docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"), digest.alias("turn")), "mix-sizes").withColumn("bucket", F.substring("turn", 1, BUCKET_DIGITS))
-    buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    goals = (
-        targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), max_epochs, weights)
-        .withColumn("goal", F.round("target").cast("long"))
-        .withColumn("whole", F.when(F.col("source_size") > 0, F.expr("goal div source_size")).otherwise(F.lit(0)).cast("long"))
-        .withColumn("rest", F.col("goal") - F.col("whole") * F.col("source_size"))
-    )
-    # The bucket in which a source's last repetition stops, and what lies before it.
-    running = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    reached = buckets.withColumn("upto", F.sum("bucket_size").over(running)).alias("b")
-    ends = (
-        reached.join(goals.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source")))
-        .where("upto >= rest")
-        .groupBy("g.source")
-        .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("bucket_size")).alias("before"))).alias("end"), *[F.any_value(c).alias(c) for c in ("source_size", "target", "whole", "rest")])
-        .select(F.col("source").alias("of"), "source_size", "target", "whole", "rest", F.col("end.bucket").alias("stop"), F.col("end.before").alias("before"))
-    )
-    joined = sized.join(ends, F.col("source").eqNullSafe(F.col("of")))
-    clear = joined.where("bucket != stop").withColumn("more", F.when(F.col("bucket") < F.col("stop"), F.col("size")).otherwise(F.lit(0)))
-    inside = W.partitionBy("source").orderBy("turn", "key", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = joined.where("bucket = stop").withColumn("more", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - F.sum("size").over(inside) + F.col("size"))))
-    return clear.unionByName(last).select(F.col("key").alias(key), "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("more")).alias("taken"))
-
-
-def repeat_rows(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs with each row as often as mixed takes it; a part of at least half a document counts as one.
-
-    Keys are unique in docs; a row with a null key is kept once."""
-    copies = F.expr("CASE WHEN size = 0 THEN 0 ELSE (2 * taken + size) div (2 * size) END").cast("int")
-    wanted = mixed.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), copies.alias("__copies"))
-    return (
-        docs.join(wanted, F.col(key) == F.col("__key"), "left")
-        .withColumn("__turn", F.explode(F.array_repeat(F.lit(1), F.when(F.col("__key").isNull(), 1).otherwise(F.col("__copies")))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    sized = cut(_sized(docs.select(source, key, text), source, key, text, seed).select(F.col(key).alias("__key"), "__source", "__size", "__turn"), "mix-sizes")
+    return _taken(sized, _stops(sized, max_epochs, weights)).select(F.col("__key").alias(key), F.col("__size").alias("size"), "source_size", "target", F.col("__taken").alias("taken"))
+
+
+def repeated(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text", *, seed: int = SEED, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """docs with each row as often as the mix takes it; a part of at least half a document counts as one.
+
+    Only sizes and turns are aggregated; texts are read where they lie and never shuffled."""
+    stops = cut(_stops(cut(_sized(docs.select(source, key, text), source, key, text, seed).select("__source", "__size", "__turn"), "mix-sizes"), max_epochs, weights), "mix-stops")
+    copies = F.expr("CASE WHEN __size = 0 THEN 0 ELSE (2 * __taken + __size) div (2 * __size) END").cast("int")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    every = docs.select(F.struct(*own).alias("__row"), F.col(f"`{source}`").alias("__of"), F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"))
+    taken = _taken(_sized(every, "__of", "__key", "__text", seed).drop("__text"), stops)
+    return taken.select("__row", F.explode(F.array_repeat(F.lit(1), copies)).alias("__turn")).select("__row.*")
 
 
 def sql(max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:

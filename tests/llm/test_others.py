@@ -44,6 +44,27 @@ def test_search_with_few_candidates_and_ties(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_search_counts_repeated_ids_once(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((60, 8)).astype(np.float32)
+    rows = [(i, v.tolist(), 1.0) for i, v in enumerate(x)]
+    longer = [(7, (x[7] + 100).tolist(), 0.0), (40, (x[40] + 100).tolist(), 0.0)]  # the least vector of an id counts
+    df = spark.createDataFrame(rows * 3 + longer, "vec_id long, embedding array<float>, score double")
+    want = []
+    for q in (0, 20, 40):
+        score = x.astype(np.float64) @ x[q].astype(np.float64)
+        want += [(q, r + 1, i) for r, i in enumerate([i for i in np.lexsort((np.arange(60), -score)).tolist() if i != q][:20])]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(df, F.col("vec_id") % 20 == 0).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and len(set(got) & set(want)) >= 0.9 * len(want)
+    assert len({(q, i) for q, _, i in got}) == len(got)
+
+
+def test_search_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 8 * 16 * 300)
+    monkeypatch.setattr(ann, "QUERY_BYTES", 8 * 16 * 20)
+    test_search_recall_and_scores(spark)
+
+
 def test_probing_retrieves_every_code_within():
     rng = np.random.default_rng(5)
     codes = rng.integers(0, 2**63, (400, 2), dtype=np.uint64)
@@ -51,12 +72,14 @@ def test_probing_retrieves_every_code_within():
     for i in range(100):
         near[i, i % 2] ^= np.uint64(((1 << (i % 20)) - 1) << 7)
     codes = np.concatenate([codes, near])
-    index = ann.MultiIndex(codes)
-    for radius in (0, 10, 15, 31, 60, 128):
-        for q in codes[:30]:
-            at, d = index.within(q, radius)
-            true = np.bitwise_count(codes ^ q).sum(1)
-            assert at.tolist() == np.flatnonzero(true <= radius).tolist() and (d == true[at]).all()
+    index = ann.MultiIndex(codes, 8)
+    for flips in (0, 1, 2, 8):
+        for i in range(30):
+            at = index.probe(index.values[i], flips)
+            parts = np.bitwise_count(index.values ^ index.values[i]).min(1)
+            assert at.tolist() == np.flatnonzero(parts <= flips).tolist()
+            true = np.bitwise_count(codes ^ codes[i]).sum(1)
+            assert set(np.flatnonzero(true <= index.m * (flips + 1) - 1)) <= set(at.tolist())
 
 
 # --- pseudonyms ------------------------------------------------------------------
@@ -152,10 +175,32 @@ def test_mix(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_levels_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "DIGITS", 1)
+    monkeypatch.setattr(mixing, "LEVELS", 2)
+    rng = random.Random(8)
+    rows = [(i % 700, " ".join(["w"] * rng.randint(0, 9)), "hot" if i % 3 else f"s{i % 40}") for i in range(2100)] + [(None, "a b c", "hot"), (5000, None, None), (5001, "", "none")]
+    rows += [(9000, "x y", "tied")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = lambda s: sum(len((t or "").split()) for _, t, x in rows if x == s)
+    want = plain_targets({s: size(s) for s in {r[2] for r in rows}})
+    taken = dict.fromkeys(want, 0)
+    by_row = {}
+    for r in mixing.mix(df.withColumn("__size", F.lit(1)).withColumn("doc_id", F.struct("doc_id", "source"))).collect():
+        taken[r["doc_id"]["source"]] += r["taken"]
+        by_row.setdefault((*r["doc_id"], r["size"]), set()).add(r["taken"])
+    assert all(abs(taken[s] - t) <= (26 if s == "tied" else 3) for s, t in want.items()) and all(len(x) == 1 for x in by_row.values())
+
+
 def test_repeated_rows(spark):
-    df = spark.createDataFrame([(1, "a b", "s", 0), (2, "c d e f g h", "t", 0), (3, None, "t", 0)], "doc_id long, text string, source string, size int")
-    out = mixing.repeat_rows(df, mixing.mix(df))
-    assert out.columns == df.columns and {r["doc_id"] for r in out.collect()} <= {1, 2}
+    rows = [(1, "a b", "s", 0, 5), (2, "c d e f g h", "t", 0, 6), (3, None, "t", 0, 7), (None, "x y z", None, 0, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, __turn int")
+    out = mixing.repeated(df)
+    assert out.columns == df.columns
+    copies = {r["doc_id"]: r["taken"] // max(r["size"], 1) for r in mixing.mix(df).collect()}
+    got = [tuple(r) for r in out.collect()]
+    assert all(abs(got.count(x) - copies[x[0]]) <= 1 and got.count(x) <= 3 for x in rows) and set(got) <= set(rows) and rows[2] not in got
+    assert mixing.repeated(df.limit(0)).count() == 0
 
 
 # --- secrets -----------------------------------------------------------------------
