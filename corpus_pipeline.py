@@ -31,7 +31,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    return mixing.repeat_rows(docs, mixing.mix(docs))
+    return mixing.repeated(docs)
 
 
 def tokenise_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
