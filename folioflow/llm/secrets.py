@@ -4,18 +4,24 @@ Fixed forms: assignments to a secret's name, access keys, long hexadecimal
 runs. The battery looks at every other run of 20 or more base64-like
 characters that holds at least two kinds of character. A run that fits no
 alphabet is split at an inner '=' (name=value) and, where a part mixes '_' or '-'
-with '/' or '+', at either pair: of both splits, all parts of 20 or more are tested. Its encoding (hex,
-base32, base62, base64) fixes an alphabet; three tests ask whether the run
-looks drawn uniformly from it: chi-squared over the alphabet in equal cells,
-runs above and below the alphabet's middle, and serial correlation at lag 1.
-A run stays if none rejects at ALPHA_TEST. It must also be unlikely as prose:
-the likelihood ratio of a uniform draw against a written-text model is an
-e-value, and the e-values of a document's runs of the same length class pass
-e-BH at rate FDR, so that short runs, which prove little, need more.
+with '/' or '+', at either pair: of both splits, all parts of 20 or more are
+tested. A run's encoding (hex, base32, base62, base64) fixes an alphabet. Three
+tests ask whether the run may be drawn uniformly from it: chi-squared over the
+alphabet, runs above and below its middle, serial correlation at lag 1; it is
+dropped where the least of their p-values, times three, is under ALPHA.
+
+What is left is a discovery if written text would hardly give it. The same
+statistics have p-values under a written-text null as well: so even a use of the
+alphabet (few coincidences, the lower tail of chi-squared) and so many changes
+of character class (the upper tail of the runs). Fisher's rule combines them. Both nulls know the run's
+length: short runs prove little and get large p-values. Benjamini and Hochberg's
+step-up at rate FDR over the runs of each length class of a document, all of
+them counted, decides.
 
 Edge cases: null and empty texts have no spans; repeated rows are scanned
-alike; texts of any length are read whole; other columns pass through unless
-they bear a result's name. Offsets are code points, ends exclusive.
+alike; texts of any length are read whole, in time near their length; other
+columns pass through unless they bear a result's name; an empty table gives no
+rows. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -23,15 +29,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 KINDS = ("assign", "access", "hex", "random")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX, MIN_RANDOM = 12, 18, 16, 20
-ALPHA_TEST, FDR = 1e-3, 1e-3
+ALPHA, FDR = 0.01, 0.005
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -52,35 +60,41 @@ ALPHABETS = {
     "base64_url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 _INDEX = {k: {c: i for i, c in enumerate(a)} for k, a in ALPHABETS.items()}
-#: Written-text model: letters per hundred (rough shares in Latin-script prose); a class change between neighbours costs extra.
-_LETTER = dict(zip("etaoinsrhldcumfpgwybvkxjqz", (12, 9, 8, 7.5, 7, 7, 6.5, 6, 5, 4, 4, 3, 3, 2.5, 2.2, 2, 2, 2, 2, 1.5, 1, 0.8, 0.2, 0.2, 0.1, 0.1)))
-#: Separators join words, so a change to or from one costs little.
-_SAME_CLASS, _SEPARATED = 0.95, 0.2
+# Fixed values of the written-text null: the chance that two, and that three, letters of Latin-script prose agree, and that the class changes after a character.
+AGREE_2, AGREE_3, CHANGE = 0.065, 0.0053, 0.15
+_CLASS = str.maketrans({c: k for k, cs in {"a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0": "0123456789", "-": "+/-_="}.items() for c in cs})
 
 
-def _kind(c: str) -> int:
-    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
-
-
-def _prose_log(run: str) -> float:
-    """Natural log of a run's probability as written text."""
-    total, last = 0.0, None
-    for c in run:
-        k = _kind(c)
-        total += math.log(_LETTER.get(c.lower(), 1) / 100 if k < 2 else 0.1)
-        total += math.log((1 / 4) if last is None else _SAME_CLASS if k == last else _SEPARATED if 3 in (k, last) else (1 - _SAME_CLASS) / 3)
-        last = k
-    return total
+def _upper_normal(z: float) -> float:
+    return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def _upper_normal(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))
+@lru_cache(1 << 16)
+def _upper_poisson(k: int, mean: float) -> float:
+    """P(at least k) of a Poisson variable, at least by a Chernoff bound where terms underflow."""
+    if k <= mean:
+        return 1.0
+    term = math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) if mean > 0 else 0.0
+    total, i = 0.0, k
+    while term > 1e-18 * (total + 1e-300) and i < k + 1000:
+        total += term
+        i += 1
+        term *= mean / i
+    return min(1.0, total)
 
 
 def _upper_chi2(x: float, k: int) -> float:
     """Upper tail by the cube-root normal approximation."""
-    z = ((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k))
-    return 0.5 * math.erfc(z / math.sqrt(2))
+    return _upper_normal(((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)))
+
+
+@lru_cache(1 << 16)
+def _upper_binomial(k: int, n: int, p: float) -> float:
+    """P(at least k) of n draws."""
+    if n > 2000:
+        return _upper_normal((k - 0.5 - n * p) / math.sqrt(n * p * (1 - p)))
+    log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+    return min(1.0, math.fsum(math.exp(log(i)) for i in range(k, n + 1)))
 
 
 def encoding(run: str) -> str | None:
@@ -89,31 +103,49 @@ def encoding(run: str) -> str | None:
     return next((k for k, a in _INDEX.items() if have <= a.keys()), None)
 
 
+def coincidences(run: str) -> int:
+    """Pairs of equal characters: chi-squared over the alphabet is a line in their number."""
+    return sum(c * (c - 1) // 2 for c in Counter(run).values())
+
+
 def battery(run: str) -> tuple[float, float, float]:
-    """p-values of the three tests of uniform draws (1 where a test has no power)."""
+    """p-values of the three tests of uniform draws from the run's alphabet (1 where a test has no power)."""
     name = encoding(run)
     if name is None:
         return 0.0, 0.0, 0.0
     at, size = _INDEX[name], len(ALPHABETS[name])
-    x = np.array([at[c] for c in run.rstrip("=")])
+    x = [at[c] for c in run.rstrip("=")]
     n = len(x)
-    cells = max(2, min(size, n // 5))
-    seen = np.bincount(x * cells // size, minlength=cells)
-    expected = n * np.bincount(np.arange(size) * cells // size, minlength=cells) / size
-    chi = _upper_chi2(float(((seen - expected) ** 2 / expected).sum()), cells - 1)
-    high = x >= size / 2
-    n1 = int(high.sum())
+    pairs = coincidences(run.rstrip("="))
+    # Where cells are sparse, the number of coincidences is nearly Poisson.
+    chi = _upper_chi2(size / n * (2 * pairs + n) - n, size - 1) if n >= 5 * size else _upper_poisson(pairs, n * (n - 1) / 2 / size)
+    high = [v >= size / 2 for v in x]
+    n1 = sum(high)
     n0 = n - n1
     runs_p = 1.0
     if n0 and n1:
         mean = 2 * n0 * n1 / n + 1
         var = (mean - 1) * (mean - 2) / (n - 1)
-        runs_p = _upper_normal((1 + int((high[1:] != high[:-1]).sum()) - mean) / math.sqrt(var)) if var > 0 else 1.0
+        runs_p = 2 * _upper_normal(abs(1 + sum(a != b for a, b in zip(high, high[1:])) - mean) / math.sqrt(var)) if var > 0 else 1.0
     elif n > 12:
-        runs_p = 2.0 ** (1 - n)
-    c = x - x.mean()
-    serial = _upper_normal(float((c[1:] * c[:-1]).sum() / max((c * c).sum(), 1e-9)) * math.sqrt(n))
-    return chi, runs_p, serial
+        runs_p = 2.0 ** max(1 - n, -1000)
+    middle = sum(x) / n
+    c = [v - middle for v in x]
+    r = sum(a * b for a, b in zip(c, c[1:])) / max(sum(a * a for a in c), 1e-9)
+    return chi, runs_p, 2 * _upper_normal(abs(r) * math.sqrt(n))
+
+
+def written(run: str) -> float:
+    """p-value of the written-text null: that prose or a name uses the alphabet so evenly and changes class so often."""
+    body = run.rstrip("=")
+    n = len(body)
+    two = n * (n - 1) / 2
+    spread = math.sqrt(two * AGREE_2 * (1 - AGREE_2) + n * (n - 1) * (n - 2) * (AGREE_3 - AGREE_2**2))
+    even = max(_upper_normal((two * AGREE_2 - coincidences(body)) / spread), 1e-300)
+    classes = body.translate(_CLASS)
+    changes = max(_upper_binomial(sum(a != b for a, b in zip(classes, classes[1:])), n - 1, CHANGE), 1e-300)
+    half = -math.log(even) - math.log(changes)  # Fisher: twice this is chi-squared on 4
+    return math.exp(-half) * (1 + half)
 
 
 def parts(run: str) -> list[tuple[int, int]]:
@@ -127,32 +159,50 @@ def parts(run: str) -> list[tuple[int, int]]:
     return sorted(x for x in found if x[1] - x[0] >= MIN_RANDOM)
 
 
+def _clear(found: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that meet none of those taken, which don't overlap one another; both sorted."""
+    out, i = [], 0
+    for a, b in found:
+        while i < len(taken) and taken[i][1] <= a:
+            i += 1
+        if i == len(taken) or taken[i][0] >= b:
+            out.append((a, b))
+    return out
+
+
+def _joined(spans_: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, with those that overlap joined."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans_):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def random_runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs that the battery and the false-discovery control leave, clear of the spans taken."""
-    found: dict[int, list[tuple[float, int, int]]] = {}
-    for m in RUN.finditer(text):
-        for a, b in parts(m[0]):
-            run, a, b = m[0][a:b], m.start() + a, m.start() + b
-            if len({_kind(c) for c in run}) < 2 or any(x < b and a < y for x, y in taken):
-                continue
-            name, body = encoding(run), run.rstrip("=")
-            if name is None:
-                continue
-            ratio = -len(body) * math.log(len(ALPHABETS[name])) - _prose_log(body)
-            found.setdefault(len(run).bit_length(), []).append((ratio, a, b))
+    seen = [(m.start() + a, m.start() + b) for m in RUN.finditer(text) for a, b in parts(m[0])]
+    classes: dict[int, list[tuple[float, int, int]]] = {}
+    for a, b in _clear(seen, _joined(taken)):
+        run = text[a:b]
+        if len(set(run.translate(_CLASS))) > 1 and encoding(run):
+            classes.setdefault(len(run).bit_length(), []).append((written(run), a, b))
     out = []
-    for runs in found.values():
-        runs.sort(reverse=True)
-        m = len(runs)
-        # e-BH: the most k whose k-th largest e-value is at least m / (FDR * k)
-        k = max((i for i, (ratio, *_) in enumerate(runs, 1) if ratio >= math.log(m / (FDR * i))), default=0)
-        out += [(a, b) for _, a, b in runs[:k] if min(battery(text[a:b])) >= ALPHA_TEST]
+    for runs in classes.values():
+        runs.sort()
+        last = max((i for i, (p, *_) in enumerate(runs, 1) if p <= FDR * i / len(runs)), default=0)
+        out += [(a, b) for _, a, b in runs[:last] if 3 * min(battery(text[a:b])) >= ALPHA]
     # Of parts that overlap, the longest stays.
-    clear: list[tuple[int, int]] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for a, b in sorted(out, key=lambda x: (x[0] - x[1], x[0])):
-        if not any(x < b and a < y for x, y in clear):
-            clear.append((a, b))
-    return clear
+        i = bisect_left(starts, b)
+        if i == 0 or ends[i - 1] <= a:
+            starts.insert(i, a)
+            ends.insert(i, b)
+    return list(zip(starts, ends))
 
 
 def spans(text: str | None) -> list[tuple[int, int, str]]:

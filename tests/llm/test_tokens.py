@@ -8,6 +8,8 @@ import pytest
 from brute import WORD, quality as plain_quality
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from folioflow.llm import bpe, classifier, quality
 from folioflow.llm.common import slices, utf8
 
@@ -92,8 +94,9 @@ def test_held_out_accuracy():
     bad = lambda: " ".join(rng.choice(["CLICK!!", "win$$$", "###", "free***"]) for _ in range(30))
     texts = [good() if i % 3 else bad() for i in range(300)]
     labels = np.array([int(bool(i % 3)) for i in range(300)])
-    weights, bias = classifier.train(pa.array(texts[:200]), labels[:200])
-    again, _ = classifier.train(pa.array(texts[:200]), labels[:200])
+    rows = [classifier.packed(np.frombuffer(t.encode(), np.uint8)) for t in texts[:200]]
+    weights, bias = classifier.train(rows, labels[:200])
+    again, _ = classifier.train(rows, labels[:200])
     assert np.array_equal(weights, again)
     right = 0
     for t, y in zip(texts[200:], labels[200:]):
@@ -103,7 +106,7 @@ def test_held_out_accuracy():
 
 
 def test_scores_without_labels(spark):
-    weights, bias = classifier.train(pa.array([], pa.string()), np.array([], np.int64))
+    weights, bias = classifier.train([], np.array([], np.int64))
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
     assert {r["score"] for r in classifier.score(df, weights, bias).collect()} == {0.5}
 
@@ -111,18 +114,26 @@ def test_scores_without_labels(spark):
 def test_sample_leaves_out_held_out_and_contradictory_rows(spark):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(6)], "doc_id long, text string")
     labels = spark.createDataFrame([(0, 1), (1, 1), (1, 0), (2, 0), (3, None), (4, 7), (5, 1)], "doc_id long, quality int")
-    texts, y = classifier.labelled_sample(docs, labels, lambda key: key == 5)
-    assert (texts.to_pylist(), y.tolist()) == (["t0", "t2"], [1, 0])
-
-
-def test_training_reads_long_texts_whole(monkeypatch):
-    import numpy as np
-    import pyarrow as pa
-
-    long = " ".join(f"w{i}" for i in range(3000))
-    seen = []
-    unique = np.unique
-    monkeypatch.setattr(classifier.np, "unique", lambda x, **more: seen.append(len(x)) or unique(x, **more))
-    classifier.train(pa.array([long, "a b c"]), np.array([0, 1]), epochs=1)
-    data = np.frombuffer(long.encode(), np.uint8)
-    assert max(seen) == len(classifier.features(data, np.array([0, len(data)]))[0]) > 20_000
+    rows, y = classifier.labelled_sample(docs.union(docs), labels.union(spark.createDataFrame([(77, 1)], labels.schema)), lambda key: key == 5, max_rows=2)
+    assert (rows, y.tolist()) == ([classifier.packed(np.frombuffer(t, np.uint8)) for t in (b"t0", b"t2")], [1, 0])
+
+
+def test_long_texts_are_counted_whole_in_pieces(monkeypatch):
+    rng = random.Random(5)
+    text = " ".join("é" * rng.randint(0, 2) + f"w{rng.randint(0, 300)}" for _ in range(9000)) + " same same " + "x" * 5000
+    data = np.frombuffer(text.encode(), np.uint8)
+    want, _ = classifier.features(data, np.array([0, len(data)]))
+    at, counts = np.unique(want, return_counts=True)
+    for piece in (1 << 20, 4000, 50):
+        monkeypatch.setattr(classifier, "PIECE", piece)
+        got, share = classifier.unpacked(classifier.packed(data))
+        assert got.tolist() == at.tolist() and np.array_equal(share, (counts / len(want)).astype(np.float32))
+
+
+def test_scores_keep_clashing_columns_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, "a b", "s", 7, "m")], "doc_id long, text string, score string, label int, mean string")
+    weights, bias = classifier.train([], np.array([], np.int64))
+    out = classifier.score(df, weights, bias)
+    assert out.columns == ["doc_id", "text", "label", "mean", "score"] and out.first()["score"] == 0.5 and out.first()["mean"] == "m"
+    assert classifier.score(df.limit(0), weights, bias).count() == 0
+    assert classifier.labelled_sample(df.limit(0), df.select("doc_id", F.lit(1).alias("quality")), lambda key: F.lit(False))[0] == []
