@@ -193,14 +193,17 @@ def link(distinct: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD)
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) for every linked node: alternating large and small stars until no edge changes.
+    """(node, root) for every linked node: alternating large and small stars until only stars are left.
 
     Each round at least points nodes at smaller neighbours; the number of rounds
     grows with the logarithm of the largest component's breadth. rounds is a
     guard that raises, not a cut."""
     edges = cut(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
     for _ in range(rounds):
+        # Settled: every node has one edge, to a node that has none of its own.
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v")).distinct())
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
         # Large star: a node's larger neighbours point at the least of its neighbourhood.
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -210,10 +213,6 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         edges = cut(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.count_distinct("u")).first()
-        if now == before and now[0] == now[2]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v")).distinct())
-        before = now
     raise RuntimeError("components did not settle")
 
 
@@ -228,13 +227,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return prints.join(named, F.col("fingerprint") == F.col("fp")).select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Of stage near-dedup: words of a shingle, least resemblance, shards of a text, and bits that a BK-tree query reaches.
-STAGE_SHINGLE, RESEMBLANCE, SHARDS, REACH = 5, 0.8, 4, 22
-_TURNS = np.random.default_rng(20240617).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Of stage near-dedup: words of a shingle, least resemblance, least hashes of a text, bits that a BK-tree query reaches, nodes that meet in one task.
+STAGE_SHINGLE, RESEMBLANCE, TURNS, REACH, MAX_MEET = 5, 0.8, 12, 26, 4096
+_TURNS = np.random.default_rng(20240617).integers(0, 2**63, TURNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of all its hashes, and 8 least hashes under as many turns.
+    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of all its hashes, and its least hashes under TURNS turns.
 
     A row under a shingle long is one shingle of all its words; a row without words has size 0."""
     n = len(offsets) - 1
@@ -258,7 +257,7 @@ def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SH
     sizes = np.bincount(row, minlength=n)
     some = np.flatnonzero(sizes)
     at = (np.cumsum(sizes) - sizes)[some]
-    prints, sets, least = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((8, n), np.uint64)
+    prints, sets, least = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((TURNS, n), np.uint64)
     if len(some):
         half = sizes[some] // 2
         for bit in range(64):
@@ -299,37 +298,54 @@ class _Postings:
         return np.bincount(held, minlength=len(self.sizes))
 
 
-def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
-    """Links that unite all members (set, print, size, hashes) that resemble one another within the tree's reach.
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of hashes have the least resemblance."""
+    return min(len(a), len(b)) >= RESEMBLANCE * max(len(a), len(b)) and bool(resemble(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)))
+
+
+def _hashes(sketch: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(sketch, np.uint32))
+
 
-    Only members of other parts are compared; where the first few of them don't
-    unite with a member, its common counts with all come from postings at once."""
+def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """Links between the classes of members (class, chunk, print, hashes) that unite all who resemble one another within the tree's reach.
+
+    Only members of other classes are compared; where the first few of them don't
+    unite with a member, its common counts with all come from postings at once.
+    Of two chunks, only pairs across them are looked at."""
+    chunks = {m[1] for m in members}
+    size: dict[int, int] = {}
+    for m in members:
+        size[m[0]] = size.get(m[0], 0) + 1
+    # The largest class, or the first chunk, only goes into the tree: the others find it there.
+    members = sorted(members, key=lambda m: (m[1], -size[m[0]], m[0]))
+    still = members[0][1] if len(chunks) > 1 else members[0][0]
     tree, links = BKTree(), []
-    sketches = [np.unique(np.frombuffer(m[3], np.uint32)) for m in members]
+    sketches = [_hashes(m[3]) for m in members]
     sizes = np.array([len(x) for x in sketches])
-    part = np.arange(len(members))
+    names, part = np.unique([m[0] for m in members], return_inverse=True)
     postings: _Postings | None = None
 
-    def alike(i: int, j: int) -> bool:
-        a, b = int(sizes[i]), int(sizes[j])
-        return min(a, b) >= RESEMBLANCE * max(a, b) and bool(resemble(len(np.intersect1d(sketches[i], sketches[j], assume_unique=True)), a, b))
-
     def unite(i: int, j: int) -> None:
         links.append((members[i][0], members[j][0]))
         part[part == part[i]] = part[j]
 
-    for i, (_, code, _, _) in enumerate(members):
+    for i, (name, chunk, code, _) in enumerate(members):
         code &= 0xFFFFFFFFFFFFFFFF
+        if (chunk if len(chunks) > 1 else name) == still:
+            tree.add(code)
+            continue
         near = np.array(tree.within(code, REACH), np.int64)
-        tree.add(code)
+        if len(chunks) == 1:
+            tree.add(code)
+        near = near[(part[near] != part[i]) & (sizes[near] >= RESEMBLANCE * sizes[i]) & (sizes[i] >= RESEMBLANCE * sizes[near])]
         for _ in range(3):
-            near = near[part[near] != part[i]]
             if not len(near):
                 break
             j, near = int(near[0]), near[1:]
-            if alike(i, j):
+            if _alike(sketches[i], sketches[j]):
                 unite(i, j)
-        near = near[part[near] != part[i]]
+                near = near[part[near] != part[i]]
         if not len(near):
             continue
         postings = postings or _Postings(sketches)
@@ -340,56 +356,86 @@ def _shard_forest(members: list[tuple[int, int, int, bytes]]) -> list[tuple[int,
     return links
 
 
-def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_shard: int = MAX_SHARD) -> DataFrame:
-    """(key, component_id) of rows that resemble another row (five words, 0.8 or more): the least key reachable.
-
-    Equal sets of shingles are one node. A node goes to SHARDS shards by the
-    least hash of its shingles under as many turns: two texts share one with
-    1 - (1 - resemblance) ** SHARDS, 0.998 at 0.8. A shard over max_shard nodes
-    is cut again by other turns in the same way. Inside, a BK-tree over the
-    SimHashes finds whom to compare, and the whole sets of shingle hashes
-    decide, whatever their size. Rows without words
-    and rows without a key resemble nothing."""
-    schema = "key long, fp long, st long, size long, sketch binary, turns array<long>"
+def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, st, fp, size, turns, sketch) of rows with words and a key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 prints, sets, sizes, sketches, least = text_sketches(data, offsets)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * len(sizes) + 1, 8), pa.int32()), pa.array(np.ascontiguousarray(least.T).reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(prints.view(np.int64)), pa.array(sets.view(np.int64)), pa.array(sizes), pa.array(sketches, pa.binary()), keys], names=["key", "fp", "st", "size", "sketch", "turns"])
-
-    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key IS NOT NULL").mapInArrow(run, schema).where("size > 0")
-    found = cut(found, "sketches")
-    nodes = found.groupBy("st", "fp", "size").agg(F.min("key").alias("least"), F.any_value("turns").alias("turns"))
-    turned = nodes.select("st", "turns", F.posexplode(F.slice("turns", 1, SHARDS)).alias("turn", "value"))
-    counted = turned.groupBy("turn", "value").agg(F.count("*").alias("n")).where("n > 1")
-    again = F.when(F.col("n") > max_shard, F.slice("turns", SHARDS + 1, SHARDS)).otherwise(F.array(F.lit(0).cast("long")))
-    placed = cut(turned.join(counted, ["turn", "value"]).select("st", "turn", "value", F.posexplode(again).alias("part", "more")), "shards")
-    full = found.join(placed.select("st").distinct(), "st", "left_semi").groupBy("st").agg(F.any_value("fp").alias("fp"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch"))
-    dealt = placed.join(full, "st").select("turn", "value", "part", "more", "st", "fp", "size", "sketch")
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, members = None, []
-        links: list[tuple[int, int]] = []
-        for batch in batches:
-            for *shard, st, fp, size, sketch in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != now:
-                    links += _shard_forest(members) if len(members) > 1 else []
-                    now, members = shard, []
-                members.append((st, fp, size, sketch))
-        links += _shard_forest(members) if len(members) > 1 else []
-        pairs = np.array(links, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    by = ["turn", "value", "part", "more"]
-    roots = components(dealt.repartition(*by).sortWithinPartitions(*by, "st").mapInArrow(unite, "a long, b long"))
-    named = nodes.select("st", "least").join(roots.withColumnRenamed("node", "st"), "st", "left").withColumn("root", F.coalesce("root", "st"))
+                turns = pa.ListArray.from_arrays(pa.array(np.arange(0, TURNS * len(sizes) + 1, TURNS), pa.int32()), pa.array(np.ascontiguousarray(least.T).reshape(-1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(sets.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(sizes), turns, pa.array(sketches, pa.binary())], names=["key", "st", "fp", "size", "turns", "sketch"])
+
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key IS NOT NULL")
+    return found.mapInArrow(run, "key long, st long, fp long, size long, turns array<long>, sketch binary").where("size > 0")
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, both sketches) those that resemble."""
+    for batch in batches:
+        good = [_alike(_hashes(x), _hashes(y)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by shard: the links of each shard's forest."""
+    now, members = None, []
+    links: list[tuple[int, int]] = []
+    for batch in batches:
+        for *shard, name, chunk, fp, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+            if shard != now:
+                links += _shard_forest(members) if len(members) > 1 else []
+                now, members = shard, []
+            members.append((name, chunk, fp, sketch))
+    links += _shard_forest(members) if len(members) > 1 else []
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_meet: int = MAX_MEET) -> DataFrame:
+    """(key, component_id) of rows that resemble another row (five words, 0.8 or more): the least key reachable.
+
+    Equal sets of shingles are one node. A node goes to a shard for each of its
+    TURNS least hashes; two texts share none with (1 - resemblance) ** TURNS,
+    4e-9 at 0.8. First every node is held against its shards' hubs (the least
+    node), as a join: one row a node and shard, so large groups of copies unite
+    without meeting. Shards that still hold several classes go to a task each:
+    a BK-tree over the SimHashes finds whom to compare (at 0.8, fingerprints lie
+    10 bits apart, with a deviation of 3; REACH is 5 deviations on). Whole sets
+    of shingle hashes (32 bits each) decide, everywhere and whatever their size.
+    Shards of over max_meet nodes are cut into chunks, and each pair of chunks is
+    a task: the result is the same. Rows without words and rows without a key
+    resemble nothing."""
+    found = cut(_sketched(docs, key, text), "sketches")
+    nodes = cut(found.groupBy("st").agg(F.min("key").alias("least"), *[F.any_value(c).alias(c) for c in ("fp", "size", "turns", "sketch")]), "nodes")
+    by = ["turn", "value"]
+    sharded = nodes.select("st", "size", F.posexplode("turns").alias("turn", "value"))
+    groups = sharded.groupBy(by).agg(F.count("*").alias("n"), F.min(F.struct("st", "size")).alias("hub")).where("n > 1")
+    members = cut(sharded.join(groups, by).select(*by, "st", "size", "n", "hub"), "shards")
+    sketches = nodes.select("st", "sketch")
+    beside = members.where((F.col("st") != F.col("hub.st")) & (F.col("size") >= RESEMBLANCE * F.col("hub.size")) & (F.col("hub.size") >= RESEMBLANCE * F.col("size"))).select(F.col("st").alias("a"), F.col("hub.st").alias("b")).distinct()
+    pairs = beside.join(sketches.toDF("a", "own"), "a").join(sketches.toDF("b", "its"), "b").select("a", "b", "own", "its")
+    classes = components(pairs.mapInArrow(_verified, "a long, b long"))
+    classed = members.join(classes.toDF("st", "root"), "st", "left").select(*by, "st", "n", F.coalesce("root", "st").alias("class"))
+    classed = cut(classed.where("n > 2"), "classes")  # two are settled by the hub
+    mixed_ = classed.groupBy(by).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select(by)
+    chunks = F.ceil(2 * F.col("n") / max_meet).cast("int")
+    chunk = F.pmod(F.xxhash64("st"), chunks).cast("int")
+    meetings = F.when(F.col("n") <= max_meet, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("other"), F.lit(0).alias("chunk")))).otherwise(
+        F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least(x, chunk).alias("one"), F.greatest(x, chunk).alias("other"), chunk.alias("chunk")))
+    )
+    by = [*by, "one", "other"]
+    dealt = classed.join(cut(mixed_, "mixed"), by[:2]).select("st", *by[:2], "class", F.explode(meetings).alias("m")).select("st", *by[:2], "m.*", "class")
+    dealt = dealt.join(nodes.select("st", "fp", "sketch"), "st").select(*by, "class", "chunk", "fp", "sketch")
+    more = components(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(_forests, "a long, b long"))
+    named = nodes.select("st", "least").join(classes.toDF("st", "root"), "st", "left").withColumn("class", F.coalesce("root", "st")).drop("root")
+    named = cut(named.join(more.toDF("class", "root"), "class", "left").select("st", "least", F.coalesce("root", "class").alias("root")), "named")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return found.select("key", "st").join(named.join(ids, "root").select("st", "component_id"), "st").select(F.col("key").alias(key), "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the rows that resemble a row of smaller key through links; rows without key or words stay."""
+    """docs without the rows that resemble a row of smaller key through links; rows without key or words stay,
+    and so do all rows that share the least key."""
     gone = resembling(docs, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("__gone")).distinct()
     return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")

@@ -143,6 +143,34 @@ def test_one_of_each_resembling(docs):
     assert {r["doc_id"] for r in got.select(F.col("doc_id")).collect()} == want
 
 
+@pytest.mark.parametrize("max_meet", [4096, 2, 7])
+def test_shards_of_many_classes(spark, max_meet):
+    """One passage in all texts, beside chains of near copies and texts of their own: few shards hold everything."""
+    rng = random.Random(11)
+    prose = lambda k: [f"{rng.getrandbits(30):x}" for _ in range(k)]
+    passage = prose(80)
+    rows = []
+    for i in range(12):
+        words = passage + prose(20)
+        for _ in range(5):
+            rows.append((len(rows), " ".join(words)))
+            words = words[:-2] + prose(2) if i % 2 else words[2:] + prose(1)
+    rows += [(len(rows) + i, " ".join(prose(8) + passage[i:])) for i in range(0, 60, 3)]
+    sets = {i: set(shingles(t, 5)) for i, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    least = classes(list(sets), [(a, b) for a in sets for b in sets if a < b and alike(a, b)])
+    assert 3 < len(set(least.values())) < len(rows)
+    got = simhash.resembling(spark.createDataFrame(rows, "doc_id long, text string"), max_meet=max_meet)
+    assert dict(got.collect()) == least
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "a b c d e f", "x", 5), (2, "a b c d e f", "y", 6), (3, None, "z", 7), (4, "", None, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string, fingerprint int")
+    assert sorted(tuple(r) for r in simhash.one_of_each(df).collect()) == [rows[0], *rows[2:]]
+    assert len(simhash.near_duplicates(df).collect()) == 4
+
+
 def test_long_texts_are_compared_exactly(spark):
     rng = random.Random(9)
     rows, want = [], set()
