@@ -227,13 +227,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return prints.join(named, F.col("fingerprint") == F.col("fp")).select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Of stage near-dedup: words of a shingle, least resemblance, least hashes of a text, bits that a BK-tree query reaches, nodes that meet in one task.
-STAGE_SHINGLE, RESEMBLANCE, TURNS, REACH, MAX_MEET = 5, 0.8, 12, 26, 4096
-_TURNS = np.random.default_rng(20240617).integers(0, 2**63, TURNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Of stage near-dedup: words of a shingle, least resemblance, keys of a text and least hashes of a key, bits that a BK-tree query reaches, nodes that meet in one task.
+STAGE_SHINGLE, RESEMBLANCE, KEYS, LEAST, REACH, MAX_MEET = 5, 0.8, 24, 3, 26, 2048
+_TURNS = np.random.default_rng(20240617).integers(0, 2**63, (KEYS, LEAST), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of all its hashes, and its least hashes under TURNS turns.
+    """Of each row's set of shingles: SimHash, a hash of the whole set, its size, the first 32 bits of all its hashes, and KEYS keys: each a hash of its least hashes under LEAST turns.
 
     A row under a shingle long is one shingle of all its words; a row without words has size 0."""
     n = len(offsets) - 1
@@ -257,15 +257,16 @@ def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = STAGE_SH
     sizes = np.bincount(row, minlength=n)
     some = np.flatnonzero(sizes)
     at = (np.cumsum(sizes) - sizes)[some]
-    prints, sets, least = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((TURNS, n), np.uint64)
+    prints, sets, least = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((KEYS, n), np.uint64)
     if len(some):
         half = sizes[some] // 2
         for bit in range(64):
             ones = np.add.reduceat((h >> np.uint64(bit)).astype(np.uint8) & np.uint8(1), at, dtype=np.int64)
             prints[some] |= (ones > half).astype(np.uint64) << np.uint64(bit)
         sets[some] = np.add.reduceat(mixed(h + np.uint64(3)), at)
-        for i, turn in enumerate(_TURNS):
-            least[i, some] = np.minimum.reduceat(mixed(h * turn), at)
+        for i, turns in enumerate(_TURNS):
+            for turn in turns:
+                least[i, some] = mixed(least[i, some] + np.minimum.reduceat(h * turn, at))
     ends_ = np.cumsum(sizes)
     short_ = (h >> np.uint64(32)).astype(np.uint32)
     sketches = [short_[b - s : b].tobytes() for b, s in zip(ends_.tolist(), sizes.tolist())]
@@ -363,7 +364,7 @@ def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 prints, sets, sizes, sketches, least = text_sketches(data, offsets)
-                turns = pa.ListArray.from_arrays(pa.array(np.arange(0, TURNS * len(sizes) + 1, TURNS), pa.int32()), pa.array(np.ascontiguousarray(least.T).reshape(-1).view(np.int64)))
+                turns = pa.ListArray.from_arrays(pa.array(np.arange(0, KEYS * len(sizes) + 1, KEYS), pa.int32()), pa.array(np.ascontiguousarray(least.T).reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(sets.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(sizes), turns, pa.array(sketches, pa.binary())], names=["key", "st", "fp", "size", "turns", "sketch"])
 
     found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key IS NOT NULL")
@@ -395,9 +396,10 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_meet: int = MAX_MEET) -> DataFrame:
     """(key, component_id) of rows that resemble another row (five words, 0.8 or more): the least key reachable.
 
-    Equal sets of shingles are one node. A node goes to a shard for each of its
-    TURNS least hashes; two texts share none with (1 - resemblance) ** TURNS,
-    4e-9 at 0.8. First every node is held against its shards' hubs (the least
+    Equal sets of shingles are one node. A node goes to KEYS shards, by keys of
+    LEAST least hashes each: two texts at 0.8 share none with
+    (1 - 0.8 ** LEAST) ** KEYS, 1e-7, while those that only share a passage
+    rarely meet. First every node is held against its shards' hubs (the least
     node), as a join: one row a node and shard, so large groups of copies unite
     without meeting. Shards that still hold several classes go to a task each:
     a BK-tree over the SimHashes finds whom to compare (at 0.8, fingerprints lie
@@ -406,27 +408,28 @@ def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_mee
     Shards of over max_meet nodes are cut into chunks, and each pair of chunks is
     a task: the result is the same. Rows without words and rows without a key
     resemble nothing."""
-    found = cut(_sketched(docs, key, text), "sketches")
-    nodes = cut(found.groupBy("st").agg(F.min("key").alias("least"), *[F.any_value(c).alias(c) for c in ("fp", "size", "turns", "sketch")]), "nodes")
+    found = cut(_sketched(docs, key, text).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    nodes = cut(found.groupBy("st").agg(F.min("key").alias("least"), F.min("row").alias("row"), *[F.any_value(c).alias(c) for c in ("size", "turns")]), "nodes")
     by = ["turn", "value"]
-    sharded = nodes.select("st", "size", F.posexplode("turns").alias("turn", "value"))
+    sharded = nodes.select("st", "size", "row", F.posexplode("turns").alias("turn", "value"))
     groups = sharded.groupBy(by).agg(F.count("*").alias("n"), F.min(F.struct("st", "size")).alias("hub")).where("n > 1")
-    members = cut(sharded.join(groups, by).select(*by, "st", "size", "n", "hub"), "shards")
-    sketches = nodes.select("st", "sketch")
+    members = cut(sharded.join(groups, by).select(*by, "st", "size", "row", "n", "hub"), "shards")
+    # Only nodes that meet another carry their sets of hashes on.
+    sketches = cut(found.select("row", "fp", "sketch").join(members.groupBy("row").agg(F.min("st").alias("st")), "row").select("st", "fp", "sketch"), "sets")
     beside = members.where((F.col("st") != F.col("hub.st")) & (F.col("size") >= RESEMBLANCE * F.col("hub.size")) & (F.col("hub.size") >= RESEMBLANCE * F.col("size"))).select(F.col("st").alias("a"), F.col("hub.st").alias("b")).distinct()
-    pairs = beside.join(sketches.toDF("a", "own"), "a").join(sketches.toDF("b", "its"), "b").select("a", "b", "own", "its")
-    classes = components(pairs.mapInArrow(_verified, "a long, b long"))
-    classed = members.join(classes.toDF("st", "root"), "st", "left").select(*by, "st", "n", F.coalesce("root", "st").alias("class"))
-    classed = cut(classed.where("n > 2"), "classes")  # two are settled by the hub
+    own, its = sketches.select(F.col("st").alias("a"), F.col("sketch").alias("own")), sketches.select(F.col("st").alias("b"), F.col("sketch").alias("its"))
+    classes = components(beside.join(own, "a").join(its, "b").select("a", "b", "own", "its").mapInArrow(_verified, "a long, b long"))
+    # Shards of two are settled by their hub.
+    classed = cut(members.where("n > 2").join(classes.toDF("st", "root"), "st", "left").select(*by, "st", "n", F.coalesce("root", "st").alias("class")), "classes")
     mixed_ = classed.groupBy(by).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select(by)
     chunks = F.ceil(2 * F.col("n") / max_meet).cast("int")
     chunk = F.pmod(F.xxhash64("st"), chunks).cast("int")
     meetings = F.when(F.col("n") <= max_meet, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("other"), F.lit(0).alias("chunk")))).otherwise(
         F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least(x, chunk).alias("one"), F.greatest(x, chunk).alias("other"), chunk.alias("chunk")))
     )
+    dealt = classed.join(cut(mixed_, "mixed"), by).select("st", *by, "class", F.explode(meetings).alias("m")).select("st", *by, "m.*", "class")
     by = [*by, "one", "other"]
-    dealt = classed.join(cut(mixed_, "mixed"), by[:2]).select("st", *by[:2], "class", F.explode(meetings).alias("m")).select("st", *by[:2], "m.*", "class")
-    dealt = dealt.join(nodes.select("st", "fp", "sketch"), "st").select(*by, "class", "chunk", "fp", "sketch")
+    dealt = dealt.join(sketches, "st").select(*by, "class", "chunk", "fp", "sketch")
     more = components(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(_forests, "a long, b long"))
     named = nodes.select("st", "least").join(classes.toDF("st", "root"), "st", "left").withColumn("class", F.coalesce("root", "st")).drop("root")
     named = cut(named.join(more.toDF("class", "root"), "class", "left").select("st", "least", F.coalesce("root", "class").alias("root")), "named")
