@@ -326,9 +326,10 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", *, digest
     decoded_sha256 stand in place of the text. vocabulary is a rank file's path on every executor."""
     from pyspark.sql import types as T
 
-    kept = [f for f in docs.schema.fields if f.name not in {"ids", "id_offsets", "round_trip", "n_tokens", "ids_sha256", "decoded_sha256"} and not (digests and f.name == text)]
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>" + ", id_offsets array<long>" * places + ", round_trip boolean" * check
-    schema = T.StructType([*kept, *T.StructType.fromDDL(more).fields])
+    made = T.StructType.fromDDL(more)
+    kept = [f for f in docs.schema.fields if f.name not in made.names and not (digests and f.name == text)]
+    schema = T.StructType([*kept, *made.fields])
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

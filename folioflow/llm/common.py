@@ -6,7 +6,7 @@ time, so that words, shingles and hashes come from a few numpy passes.
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,23 +35,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set."""
+    """The cluster's shared folder (spark.checkpoint.dir); one of our own only in local mode, where none is set."""
     global _own_dir
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         _own_dir = _own_dir or tempfile.mkdtemp(prefix="folioflow-")
         path = _own_dir
     return path.rstrip("/")
 
 
+#: Makes Spark drop a query's shuffle files as it ends; a written table needs none of them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the files of shuffles that are done
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote, once all that is made of them is written."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

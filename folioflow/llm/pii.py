@@ -6,16 +6,17 @@ keyed Feistel permutation of its own format. Equal values stay equal across
 documents, distinct ones stay distinct within a format, separators and lengths
 stay, and a pseudonym is valid again. What fails its validation stays.
 
-    email   letters and digits of the local part, each within its class
+    email   letters and digits of the local part, each within its class; case doesn't tell apart and stays
     ipv4    the 32 bits of four octets
     date    yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy (else mm/dd/yyyy): the day in 1600..2299
     ssn     area, group and serial, within their valid values
     card    13 to 19 digits: all but the Luhn digit, which is set anew
-    phone   + country code and groups, (ddd) ddd-dddd or ddd-ddd-dddd: digits after the country code
+    phone   + country code and groups, (ddd) ddd-dddd or ddd-ddd-dddd: digits after the country code, however grouped
 
 Edge cases: null texts stay null and empty ones empty, with counts of 0;
-repeated rows get equal results; long texts are handled whole; other columns
-pass through unless they bear a result's name.
+repeated rows get equal results; of texts that touch or overlap the leftmost,
+then the first kind in the list, counts; long texts are handled whole; other columns
+pass through unless they bear a result's name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("email", "ipv4", "date", "ssn", "card", "phone")
-KEY = "folioflow-pseudonyms-1"
 ROUNDS = 8
+#: The setting that names the key, where a caller gives none. Who has the key can invert pseudonyms: none is built in.
+KEY_SETTING = "folioflow.pii.key"
+# Country codes of one and two digits; all others have three.
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: 1600-01-01 in days from 1970-01-01, and the days up to 2299-12-31 as a product.
 FIRST_DAY, DAY_PARTS = -135140, (370, 691)
 
@@ -123,10 +127,11 @@ def kind_of(m: Column) -> Column:
     )
 
 
-def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a valid candidate of that kind."""
     local = F.substring_index(m, "@", 1)
-    email = F.concat(permute_text(key, "email", local), F.substring(m, F.length(local) + 1, F.length(m)))
+    cased = F.zip_with(F.split(permute_text(key, "email", F.lower(local)), ""), F.split(local, ""), lambda new, old: F.when(old.between("A", "Z"), F.upper(new)).otherwise(new))
+    email = F.concat(F.array_join(cased, ""), F.substring(m, F.length(local) + 1, F.length(m)))
 
     value = F.aggregate(_octets(m), F.lit(0).cast("long"), lambda a, x: a * 256 + x)
     ip = permute_number(key, "ipv4", value, 65536, 65536)
@@ -147,14 +152,19 @@ def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
     body = permute_text(key, "card", F.substring(number, F.lit(1), F.length(number) - 1))
     card = refill(m, F.concat(body, ((F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")))
 
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])|^\+\d", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    phone = F.concat(code, refill(rest, permute_text(key, "phone", digits(rest))))
+    # One number in any grouping: the country code is read off the digits.
+    code = F.when(m.startswith("+"), F.regexp_extract(number, COUNTRY, 0)).otherwise(F.lit(""))
+    phone = refill(m, F.concat(code, permute_text(key, "phone", F.substring(number, F.length(code) + 1, F.length(number)))))
     return F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "date", date).when(kind == "ssn", ssn).when(kind == "card", card).when(kind == "phone", phone).otherwise(m)
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """docs with text's personal data replaced, and n_<kind> for each kind."""
+def pseudonymise(docs: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
+    """docs with text's personal data replaced, and n_<kind> for each kind.
+
+    key: the secret that the permutations hang on; if none is given, the session's folioflow.pii.key."""
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"Pseudonyms need a key: an argument, or the setting {KEY_SETTING}")
     found = docs.withColumn("__pii_found", F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))))
     valid = found.withColumn("__pii_valid", F.transform("__pii_found", lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind"))))
     new = F.transform("__pii_valid", lambda x: pseudonym(x["old"], x["kind"], key))

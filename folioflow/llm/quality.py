@@ -3,7 +3,8 @@
 Each distinct word of a slice is split once by a public subword vocabulary with
 byte fallback. A document's characters per token, share of byte-fallback tokens
 and token entropy (bits over the logarithm of its tokens, 0 to 1) must lie in
-the band of its main script, wide enough for any plain prose of that script,
+the band of its main script, wide enough for any plain prose of that script and
+wider the fewer its tokens are,
 and within robust limits of its group (script and, where there is such a
 column, lang). The limits come from all documents that pass the base rules,
 equal measures counted once: medians and absolute deviations of characters per
@@ -13,10 +14,9 @@ document goes if either measure, or both together, lie over LIMIT deviations
 low. Groups of under MIN_GROUP different documents have the bands only.
 
 Edge cases: null and empty texts have no words, no measures (null) and fail the
-base rules; short texts (under MIN_TOKENS tokens) are
-held to the robust limits, not to the bands;
-repeated rows count each on their own; other columns pass through unless they
-bear a result's name.
+base rules; repeated rows are judged each on their own; texts of any length are
+judged whole; an empty table gives no rows; other columns pass through unless
+they bear a result's name.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ from .common import SEPARATOR, cut, distinct_slices, mixed, run_starts, slices,
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
-MIN_TOKENS = 64
 CACHE_WORDS = 300_000
 #: script -> (least and most characters per token, most byte-fallback share, least relative entropy)
 BANDS = {"latin": (1.15, 8.0, 0.10, 0.35), "cyrillic_greek": (0.9, 8.0, 0.25, 0.35), "cjk": (0.3, 4.0, 0.75, 0.35), "other": (0.25, 8.0, 0.95, 0.30), "none": (0.8, 8.0, 0.50, 0.30)}
@@ -63,10 +62,16 @@ def scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     letter[0xC3:0xCA] = 0  # U+00C0..U+027F
     letter[0xCD:0xD4] = 1  # U+0340..U+053F: Greek, Cyrillic
     letter[0xD4:0xE0] = 3
-    letter[0xE0:0xE2] = 3
+    letter[0xE0:0xE3] = 3
+    letter[0xE2] = 9  # punctuation and symbols
     letter[0xE3:0xEE] = 2  # kana, Han, Hangul
-    letter[0xF0] = 2
     kind = letter[data]
+    # Two lead bytes tell by the byte after them: U+1E00..U+1FFF, and beyond U+FFFF ideographs, symbols (no letters) or other scripts.
+    for lead, following in ((0xE1, ((0xB8, 0xBC, 0), (0xBC, 0xC0, 1))), (0xF0, ((0x90, 0x9F, 3), (0x9F, 0xA0, 9), (0xA0, 0xC0, 2)))):
+        at = np.flatnonzero(data == lead)
+        after = data[np.minimum(at + 1, len(data) - 1)]
+        for low, high, script in following:
+            kind[at[(after >= low) & (after < high)]] = script
     counts = np.empty((4, len(offsets) - 1), np.int64)
     for i in range(4):
         counts[i] = np.diff(np.append(0, np.cumsum(kind == i))[offsets])
@@ -120,14 +125,15 @@ class Rules:
         chars = word_chars / np.maximum(n_tokens, 1)
         script = scripts(data, offsets)
         low, high, most, least = np.array(list(BANDS.values()))[script].T
-        # Entropy falls short of 1 as texts outgrow the vocabulary's common part.
-        floor = least * np.minimum(1.0, 10 / np.log2(np.maximum(n_tokens, 2)))
-        good = (chars >= low) & (chars <= high) & (byte_share <= most) & (entropy >= floor)
+        # Bands widen as tokens get fewer. Entropy falls short of 1 as texts outgrow the vocabulary's common part.
+        slack = 1 / np.sqrt(np.maximum(n_tokens, 1))
+        floor = least * np.minimum(1.0, 10 / np.log2(np.maximum(n_tokens, 2))) * (1 - slack)
+        good = (chars * (1 + 4 * slack) >= low) & (chars <= high * (1 + 4 * slack)) & (byte_share <= most + (1 - most) * 2 * slack) & (entropy >= floor)
         out["script"] = np.array(SCRIPTS, object)[script]
         out["__tokens"] = n_tokens
         known = n_tokens > 0
         out |= {"chars_per_token": np.where(known, chars, np.nan), "byte_share": np.where(known, byte_share, np.nan), "token_entropy": np.where(known, entropy, np.nan)}
-        out["kept"] = ~out["base_failed"] & (good | (n_tokens < MIN_TOKENS))
+        out["kept"] = ~out["base_failed"] & good
         return out
 
 

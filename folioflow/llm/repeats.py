@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .anchors import runs
-from .common import cut, mixed, slices
+from .common import cut, mixed, release, slices
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -81,15 +81,21 @@ def records(docs: DataFrame, items: Items, window: int, k: int) -> DataFrame:
 def suspects(found: DataFrame, across: bool) -> DataFrame:
     """The runs whose anchor occurs again (across: in another document), as a table."""
     again = found.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high") if across else found.groupBy("h").agg(F.count("*").alias("runs")).where("runs > 1")
-    return cut(found.join(cut(again.select("h"), "anchors"), "h"), "suspects")
+    anchors = cut(again.select("h"), "anchors")
+    kept = cut(found.join(anchors, "h"), "suspects")
+    release(anchors)
+    return kept
 
 
 def split_known(found: DataFrame, across: bool) -> tuple[DataFrame, DataFrame]:
-    """(runs whose whole content came earlier, first runs of contents under anchors that have several), as tables."""
+    """(runs whose whole content came earlier, first runs of contents under anchors that have several), as tables.
+
+    found is a table that suspects() wrote, and isn't kept."""
     place = F.struct("doc") if across else F.struct("doc", "s")
     firsts = cut(found.groupBy("h", "ch").agg(F.min(place).alias("first")), "contents")
     several = cut(firsts.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1"), "several")
     marked = cut(found.join(firsts, ["h", "ch"]).select("h", "doc", "s", "n", "a", (place > F.col("first")).alias("later")), "runs")
+    release(found, firsts)
     return marked.where("later").select("doc", "s", "n"), marked.where("NOT later").join(several, "h").select("h", "doc", "s", "n", "a", "contents")
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import cut, mixed, slices, spaced, window_hashes, word_hashes, words
+from .common import cut, mixed, release, slices, spaced, window_hashes, word_hashes, words
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 MAX_SHARD = 20_000
@@ -212,7 +212,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = cut(small, "edges")
+        old, edges = edges, cut(small, "edges")
+        release(old)
     raise RuntimeError("components did not settle")
 
 
@@ -421,20 +422,22 @@ def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", max_mee
     classes = components(beside.join(own, "a").join(its, "b").select("a", "b", "own", "its").mapInArrow(_verified, "a long, b long"))
     # Shards of two are settled by their hub.
     classed = cut(members.where("n > 2").join(classes.toDF("st", "root"), "st", "left").select(*by, "st", "n", F.coalesce("root", "st").alias("class")), "classes")
-    mixed_ = classed.groupBy(by).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select(by)
+    mixed_ = cut(classed.groupBy(by).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select(by), "mixed")
     chunks = F.ceil(2 * F.col("n") / max_meet).cast("int")
     chunk = F.pmod(F.xxhash64("st"), chunks).cast("int")
     meetings = F.when(F.col("n") <= max_meet, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("other"), F.lit(0).alias("chunk")))).otherwise(
         F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least(x, chunk).alias("one"), F.greatest(x, chunk).alias("other"), chunk.alias("chunk")))
     )
-    dealt = classed.join(cut(mixed_, "mixed"), by).select("st", *by, "class", F.explode(meetings).alias("m")).select("st", *by, "m.*", "class")
+    dealt = classed.join(mixed_, by).select("st", *by, "class", F.explode(meetings).alias("m")).select("st", *by, "m.*", "class")
     by = [*by, "one", "other"]
     dealt = dealt.join(sketches, "st").select(*by, "class", "chunk", "fp", "sketch")
     more = components(dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(_forests, "a long, b long"))
     named = nodes.select("st", "least").join(classes.toDF("st", "root"), "st", "left").withColumn("class", F.coalesce("root", "st")).drop("root")
     named = cut(named.join(more.toDF("class", "root"), "class", "left").select("st", "least", F.coalesce("root", "class").alias("root")), "named")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return found.select("key", "st").join(named.join(ids, "root").select("st", "component_id"), "st").select(F.col("key").alias(key), "component_id")
+    rows = cut(found.select("key", "st"), "keys")
+    release(found, nodes, members, sketches, classed, mixed_)
+    return rows.join(named.join(ids, "root").select("st", "component_id"), "st").select(F.col("key").alias(key), "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

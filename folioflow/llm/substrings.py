@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import repeats
 from .anchors import covered
-from .common import cut, slices, spaced, word_hashes, words
+from .common import cut, release, slices, spaced, word_hashes, words
 
 WINDOW, SEED_WORDS = 13, 4
 
@@ -81,6 +81,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     hubs = cut(bodies.groupBy("h").agg(F.min(F.struct("doc", "s", "a", "body")).alias("hub")), "hubs")
     beside = bodies.join(hubs, "h").where("doc != hub.doc OR s != hub.s")
     found = cut(beside.mapInArrow(_extend, "h long, doc long, s long, n int, w long"), "matches")
+    release(bodies, hubs)
     rest = found.where("w IS NOT NULL")
     firsts = cut(rest.groupBy("h", "w").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("h", "w", "low"), "firsts")
     thirds = rest.join(firsts, ["h", "w"]).where("doc > low")
