@@ -2,7 +2,16 @@
 
 Quality rules, near-duplicates, pseudonyms, mixing and tokenising, in this
 order. Each stage works on all that the one before kept; all but the last
-return the columns of documents. Rows without text fail the quality rules.
+return the columns of documents, with the table's own values: rows travel
+beside what a stage computes, so columns that bear a result's name stay as they
+were.
+
+Edge cases: rows without text or words fail the quality rules. Equal texts
+under several ids leave the one of least id; rows that repeat an id are
+documents of their own, judged alike, and all of them stay where the id stays.
+A null id resembles nothing, and is mixed as an id like any other. Null sources
+are a source. Ties between near-duplicates go to the least id. Very long texts
+are handled whole. An empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations
@@ -12,11 +21,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.llm import bpe, mixing, pii, quality, simhash
 from folioflow.llm.common import cut, table
+from folioflow.llm.queries import DEMO_KEY
+
+
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """docs with each row in column __row, beside the named columns that it has."""
+    return docs.select(F.struct("*").alias("__row"), *[c for c in columns if c in docs.columns])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.judge(docs, public_tokenizers.path("piece_bpe_32k.model")).where("kept").select(*docs.columns)
+    judged = quality.judge(_packed(docs, "text", "lang"), public_tokenizers.path("piece_bpe_32k.model"), keep=("__row",))
+    return judged.where("kept").select("__row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +41,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data under pseudonyms."""
-    return pii.pseudonymise(docs).select(*docs.columns)
+    """Documents with personal data under pseudonyms; a production run names its key in the session."""
+    hidden = pii.pseudonymise(_packed(docs, "text"), key=spark.conf.get(pii.KEY_SETTING, DEMO_KEY))
+    return hidden.select(*[F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +52,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokenise_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's ids, and whether they decode to its text."""
+    """Each document's ids, and whether they decode to its text.
+
+    Byte offsets of ids are left out here: they are the running sum of the ids'
+    lengths, which decoding makes anew."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = bpe.encode_texts(docs.select("doc_id", "source", "text"), vocabulary, places=False, check=True)
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
@@ -49,7 +69,7 @@ STAGES = [
     ("byte-level BPE", tokenise_stage),
 ]
 
-#: Sketches and merges have no SQL form; tests compare run() with a brute-force version.
+#: Vocabularies, sets of hashes and permutations have no SQL form; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
