@@ -1,7 +1,10 @@
-"""python -m folioflow INPUT OUTPUT: raw blocks (Parquet) to Markdown documents (Parquet).
+"""python -m folioflow INPUT OUTPUT --engine-module M: files to bundles.
 
-With --engine-module, INPUT is a folder of files and the module registers the
-engine that --engine names. Exit 2: bad settings; 1: failed extraction."""
+INPUT is a file or folder in any store that Spark reads; module M registers the
+engine that --engine names, and may hold HOOKS (plans.run.Hooks). OUTPUT gets a
+folder a document. Without --engine-module, INPUT is Parquet of raw blocks and
+OUTPUT/documents Parquet of Markdown. Exit 2: bad settings; 1: some or all
+documents failed, and are told."""
 
 from __future__ import annotations
 
@@ -12,6 +15,7 @@ import sys
 from pathlib import Path
 
 from .plans import config
+from .plans.progress import Lines
 
 
 def main(args: list[str] | None = None) -> int:
@@ -21,34 +25,37 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--engine-module")
     parser.add_argument("--no-question-layout", dest="question_layout", action="store_false", default=None)
     parser.add_argument("--debug", action="store_true", default=None)
-    for name, kind in (("engine", str), ("backend", str), ("server-url", str), ("profile", str), ("max-concurrency", int), ("layout-threshold", float), ("layout-unclip-ratio", float), ("watermark-mode", str)):
+    for name, kind in (("engine", str), ("backend", str), ("server-url", str), ("profile", str), ("max-concurrency", int), ("layout-threshold", float), ("layout-unclip-ratio", float), ("watermark-mode", str), ("mcq-crop-margin", int), ("table-crop-margin", int)):
         parser.add_argument(f"--{name}", type=kind)
     given = vars(parser.parse_args(args))
     try:
         settings = config.resolve(given, os.environ, Path.cwd())
+        if not given["engine_module"] and settings.watermark_mode != "off":
+            raise ValueError("watermark_mode needs files, so an engine module")
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
     from pyspark.sql import SparkSession
 
-    from .operators import export, normalize
-    from .sources import inputs
+    from .plans import run
+    from .streaming.documents import to_markdown
 
     spark = SparkSession.builder.appName("folioflow").getOrCreate()
     try:
-        if given["engine_module"]:
-            importlib.import_module(given["engine_module"])
-            blocks = inputs.extract(inputs.read_files(spark, given["input"]), settings.engine)
-        else:
-            blocks = spark.read.parquet(given["input"])
-        elements = normalize.normalize_options(normalize.adapt(blocks).where("error IS NULL"))
-        export.markdown(elements, settings.question_layout).write.mode("errorifexists").parquet(f"{given['output']}/documents")
-        if settings.debug:
-            export.debug_elements(elements, settings.engine).write.mode("errorifexists").parquet(f"{given['output']}/debug")
+        with Lines() as lines:
+            if not given["engine_module"]:
+                to_markdown(spark.read.parquet(given["input"]), settings.question_layout).write.mode("errorifexists").parquet(f"{given['output']}/documents")
+                return 0
+            hooks = getattr(importlib.import_module(given["engine_module"]), "HOOKS", run.Hooks())
+            told = run.run(spark, given["input"], given["output"], settings, hooks, lines)
+            failed = 0
+            for row in told.where("error IS NOT NULL").toLocalIterator():
+                failed += 1
+                print(f"{row['path']}: {row['error']}", file=sys.stderr)
+            return int(failed > 0)
     except Exception as e:
         print(f"Extraction failed: {e}", file=sys.stderr)
         return 1
-    return 0
 
 
 if __name__ == "__main__":

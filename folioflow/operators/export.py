@@ -10,25 +10,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.arrow import column
-from ..functions.exams import question_layout
+from ..functions.exams import maybe_exam, question_layout
 from ..functions.markup import image_sources, with_sources
-from ..functions.mathtext import cell_markdown, strip, tidy_inline
+from ..functions.mathtext import cell_markdown, escape_cell, strip, tidy_inline
 from ..schema import IGNORED_KINDS, TITLE_KINDS
 from .normalize import page_order
 
-tidied = column(tidy_inline, "string")
-cell = column(cell_markdown, "string")
-_cells = column(lambda rows: [[cell_markdown(c) for c in r] for r in rows], "array<array<string>>")
+_tidied = column(tidy_inline, "string")
+_cell = column(cell_markdown, "string")
+_math_cells = column(lambda rows: [[cell_markdown(c) for c in r] for r in rows], "array<array<string>>")
 
 # Characters that need no blank before them.
 CLINGS = r"^[.,;:!?]"
 
 
+def tidied(text: Column) -> Column:
+    """text with its inline math trimmed and set off; only texts with a dollar leave the JVM."""
+    return F.coalesce(_tidied(F.when(text.contains("$"), text)), text)
+
+
+def cell(text: Column) -> Column:
+    """A cell's Markdown, null where its math can't stand in a cell; only texts with a dollar leave the JVM."""
+    return F.when(text.contains("$"), _cell(F.when(text.contains("$"), text))).otherwise(escape_cell(text))
+
+
+def rendered_cells(rows: Column) -> Column:
+    """Rows with each cell as Markdown, null where one can't be; only tables with a dollar leave the JVM."""
+    math = F.exists(rows, lambda r: F.exists(r, lambda c: c.contains("$")))
+    return F.when(math, _math_cells(F.when(math, rows))).otherwise(F.transform(rows, lambda r: F.transform(r, escape_cell)))
+
+
+def mapped_sources(markup: Column, targets: Column) -> Column:
+    """markup with its image sources mapped; only markup with images and a map leaves the JVM."""
+    touched = targets.isNotNull() & F.lower(markup).contains("<img")
+    return F.coalesce(with_sources(F.when(touched, markup), targets), markup)
+
+
+def exam_layout(markup: Column) -> Column:
+    """The layout of an exam table, else null; only markup that may be one leaves the JVM."""
+    return question_layout(F.when(maybe_exam(markup), markup))
+
+
 def table_markdown(table: Column, cells: Column | None = None) -> Column:
     """A table struct's Markdown; its HTML if it has no plain rows or a cell can't be Markdown.
 
     cells: the rows with each cell rendered, or null, if already at hand."""
-    cells = _cells(table["rows"]) if cells is None else cells
+    cells = rendered_cells(table["rows"]) if cells is None else cells
     line = lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))
     plain = cells.isNotNull() & ~table["has_merged_cells"] & ~F.exists(cells, lambda r: F.exists(r, lambda c: c.isNull()))
     width = F.size(F.get(cells, F.lit(0)))
@@ -98,8 +125,7 @@ def table_artifacts(elements: DataFrame) -> DataFrame:
     """(doc_id, page_no, ord, name, html): every table file, its images one folder up."""
     maps = _targets(number_images(image_uses(elements)), "../images/", "_map")
     tables = _markup(number_tables(elements)).join(maps, ["doc_id", "page_no", "ord"], "left")
-    html = F.when(F.col("_map").isNull(), F.col("_markup")).otherwise(with_sources(F.col("_markup"), F.col("_map")))
-    return tables.select("doc_id", "page_no", "ord", F.concat(F.lit("tbl-"), F.col("table_no").cast("string"), F.lit(".html")).alias("name"), html.alias("html"))
+    return tables.select("doc_id", "page_no", "ord", F.concat(F.lit("tbl-"), F.col("table_no").cast("string"), F.lit(".html")).alias("name"), mapped_sources(F.col("_markup"), F.col("_map")).alias("html"))
 
 
 def flags(elements: DataFrame) -> DataFrame:
@@ -126,30 +152,32 @@ def sections(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     rows = _markup(flags(elements).where(~F.col("kind").isin(*IGNORED_KINDS)))
     for more in (maps, own, tables):
         rows = rows.join(more, keys, "left")
-    mapped = lambda c: F.when(F.col("_map").isNull(), c).otherwise(with_sources(c, F.col("_map")))
-    rows = rows.withColumn("_shown", F.coalesce(mapped(F.col("_markup")), "_text")).withColumn("_group", F.when(F.col("_own").isNull(), F.col("option_group")))
     is_table = F.col("kind") == "table"
-    rows = rows.withColumn("_layout", F.when(is_table, question_layout(F.col("_shown"))) if question_layouts else F.lit(None).cast("struct<markdown:string>"))
-    rows = rows.withColumn("_cells", F.when(is_table & F.col("_layout").isNull(), _cells(F.col("table.rows"))))
+    rows = rows.withColumn("_shown", F.coalesce(mapped_sources(F.col("_markup"), F.col("_map")), "_text")).withColumn("_group", F.when(F.col("_own").isNull() & ~is_table, F.col("option_group")))
+    rows = rows.withColumn("_layout", exam_layout(F.when(is_table, F.col("_shown"))) if question_layouts else F.lit(None).cast("struct<markdown:string>"))
+    rows = rows.withColumn("_cells", rendered_cells(F.when(is_table & F.col("_layout").isNull(), F.col("table.rows"))))
+    rows = rows.withColumn("_plain", F.when(is_table & F.col("_layout").isNull() & F.col("table").isNotNull(), table_markdown(F.col("table"), F.col("_cells"))))
     # The map rewrites again what a cell's text decodes to.
-    rows = rows.withColumn("_table", F.when(is_table & F.col("table").isNotNull(), mapped(table_markdown(F.col("table"), F.col("_cells")))).otherwise(F.col("_shown")))
-    rows = rows.withColumn("_tidy", tidied(F.col("_shown")))
+    rows = rows.withColumn("_table", F.coalesce("_layout.markdown", mapped_sources(F.col("_plain"), F.col("_map")), "_shown"))
+    options = F.transform("_group.options", lambda o: F.concat(o["label"], F.lit(" "), o["content"]))
+    rows = rows.withColumn("_options", F.concat(F.filter(F.array("_group.question"), lambda q: q != ""), options))
+    rows = rows.withColumn("_options", F.coalesce(_tidied_all(F.when(F.exists("_options", lambda o: o.contains("$")), F.col("_options"))), "_options"))
+    rows = rows.withColumn("_tidy", tidied(F.when(~is_table & F.col("_group").isNull(), F.col("_shown"))))
     digit = lambda c: c.cast("string")
     link = F.concat(F.lit("[Table "), digit(F.col("table_no") + 1), F.lit("](tables/tbl-"), digit(F.col("table_no")), F.lit(".html)"))
     image = F.concat(F.lit("![Image "), digit(F.col("_own") + 1), F.lit("](images/img-"), digit(F.col("_own")), F.lit(".png)"))
-    question = F.col("_group.question")
-    options = F.concat(F.when(question != "", F.array(tidied(question))).otherwise(F.array().cast("array<string>")), _options(F.col("_group.options")))
     emitted = (
-        F.when(is_table, F.array(F.coalesce("_layout.markdown", "_table"), link))
+        F.when(is_table, F.array("_table", link))
         .when(F.col("_own").isNotNull(), F.when(F.col("_shown") == "", F.array(image)).otherwise(F.array(image, F.col("_shown"))))
         .when(F.col("_shown") == "", F.array().cast("array<string>"))
-        .when(F.col("_group").isNotNull(), options)
+        .when(F.col("_group").isNotNull(), F.col("_options"))
         .otherwise(F.array(rendered(F.col("_shown"), F.col("kind"), F.col("formula_placement"), F.col("_tidy"))))
     )
-    return rows.select(*keys, "glues", F.posexplode(emitted).alias("sub", "text"))
+    # An outer generator: a plain one would evaluate its argument twice more, in filters that Catalyst infers from it.
+    return rows.select(*keys, "glues", F.posexplode_outer(emitted).alias("sub", "text")).where("sub IS NOT NULL")
 
 
-_options = column(lambda options: [f"{o['label']} {tidy_inline(o['content'])}" for o in options], "array<string>")
+_tidied_all = column(lambda texts: [tidy_inline(t) for t in texts], "array<string>")
 
 
 def separated(parts: DataFrame) -> DataFrame:
@@ -178,8 +206,7 @@ def layout_report(elements: DataFrame) -> DataFrame:
     keys = ["doc_id", "page_no", "ord"]
     maps = _targets(number_images(image_uses(elements)), "images/", "_map")
     rows = _markup(number_tables(elements)).join(maps, keys, "left")
-    shown = F.when(F.col("_map").isNull(), F.col("_markup")).otherwise(with_sources(F.col("_markup"), F.col("_map")))
-    rows = rows.withColumn("_layout", question_layout(shown))
+    rows = rows.withColumn("_layout", exam_layout(mapped_sources(F.col("_markup"), F.col("_map"))))
     none = F.array().cast("array<string>")
     return rows.select("doc_id", F.col("page_no").alias("page"), F.concat(F.lit("tbl-"), F.col("table_no").cast("string"), F.lit(".html")).alias("table"), F.col("_layout").isNotNull().alias("converted"), F.coalesce("_layout.warnings", none).alias("warnings"), F.coalesce("_layout.repairs", none).alias("repairs"))
 
@@ -192,7 +219,11 @@ def debug_elements(elements: DataFrame, engine: str) -> DataFrame:
     )
 
 
-def watermark_json(report: DataFrame, mode: str) -> DataFrame:
-    """(doc_id, json): each document's report; NaN never occurs, as boxes are validated."""
+def watermark_json(report: DataFrame, mode: str, documents: DataFrame | None = None) -> DataFrame:
+    """(doc_id, json): each document's report; NaN never occurs, as boxes are validated.
+
+    documents: (doc_id) of those that get one, without candidates too; else those that have some."""
     rows = report.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "block_index", "kind", "bbox", "phrase", "repetitions", "content", "decision", "reason"))).alias("candidates"))
+    if documents is not None:
+        rows = documents.join(rows, "doc_id", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(rows.schema["candidates"].dataType)))
     return rows.select("doc_id", F.to_json(F.struct(F.lit(1).alias("schema_version"), F.lit(mode).alias("mode"), F.lit("original page pixels, top-left origin").alias("bbox_coordinates"), "candidates")).alias("json"))

@@ -82,15 +82,15 @@ def adapt(raw_blocks: DataFrame) -> DataFrame:
         box(F.col("bbox")).alias("bbox"),
         F.col("image").alias("image_png"),
     )
-    table = F.when(F.col("kind") == "table", table_content(F.col("content")))
+    table = table_content(F.when(F.col("kind") == "table", F.col("content")))  # null for the rest: they stay in the JVM
     error = F.when(F.col("kind").isin(*PICTURE_KINDS) & F.col("image_png").isNull(), F.concat(F.lit("image without pixels on page "), F.col("page_no").cast("string")))
     return formula_placement(blocks).withColumn("table", table).withColumn("error", error)
 
 
 def adapt_alternative(items: DataFrame, pages: DataFrame) -> DataFrame:
-    """Elements of the second engine's items (doc_id, seq, page_no, kind, text, level, marker, bbox bottom-left, png).
+    """Elements, with error, of the second engine's items (doc_id, seq, page_no, kind, text, level, marker, bbox bottom-left, png).
 
-    Items without provenance go to page 1; an item on an unlisted page keeps a null bbox and an error."""
+    A table's text is its HTML; a generic formula is displayed, as items have no neighbours. Items without provenance go to page 1; an item on an unlisted page keeps a null bbox and an error."""
     kind = F.col("kind")
     text = (
         F.when(kind.isin("title", "section_header"), F.concat(F.repeat(F.lit("#"), F.coalesce("level", F.lit(1)).cast("int")), F.lit(" "), "text"))
@@ -102,7 +102,7 @@ def adapt_alternative(items: DataFrame, pages: DataFrame) -> DataFrame:
     box = F.when(F.col("page_no").isNotNull() & F.col("height").isNotNull(), F.struct(F.col("bbox.l").alias("l"), (F.col("height") - F.col("bbox.t")).alias("t"), F.col("bbox.r").alias("r"), (F.col("height") - F.col("bbox.b")).alias("b")))
     placement = F.when(kind == "inline_formula", "inline").when(kind.isin("formula", "display_formula"), "display")
     error = F.when((kind == "image") & F.col("png").isNull(), "picture without pixels").when(F.col("page_no").isNotNull() & F.col("height").isNull(), "item on an unlisted page")
-    return placed.select("doc_id", F.coalesce("page_no", F.lit(1)).alias("page_no"), F.col("seq").alias("ord"), "kind", text.alias("content"), box.alias("bbox"), placement.alias("formula_placement"), error.alias("error"))
+    return placed.select("doc_id", F.coalesce("page_no", F.lit(1)).alias("page_no"), F.col("seq").cast("int").alias("ord"), "kind", text.alias("content"), box.alias("bbox"), F.when(kind == "image", F.col("png")).alias("image_png"), placement.alias("formula_placement"), table_content(F.when(kind == "table", F.col("text"))).alias("table"), error.alias("error"))
 
 
 def markdown_elements(elements: DataFrame) -> DataFrame:

@@ -1,15 +1,20 @@
 """Repeated background text: candidates, evidence, decisions, removal.
 
 Evidence (tiled forms, pixels) comes as tables, so a PDF library is needed only
-where they are made. Doubt always keeps content."""
+where they are made: a hook (gather). Doubt always keeps content."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.arrow import column
 from ..functions.markup import table_content
 from ..functions.mathtext import WS
+from ..functions.pixels import darkest_channel
+from ..schema import EVIDENCE
 from .normalize import valid_bbox
 
 # Thresholds of the evidence.
@@ -19,7 +24,13 @@ SCALE, MAX_PIXELS, EDGE = 1.5, 4_000_000, 2
 DARK, BLANK = 220, 250
 MAX_PATHS, MAX_SEGMENTS, MAX_PATH_SEGMENTS, MIN_AREA = 1024, 250_000, 4096, 0.25
 
-fold = column(str.casefold, "string")
+_casefolded = column(str.casefold, "string")
+
+
+def fold(text: Column) -> Column:
+    """text case-folded; only texts beyond ASCII leave the JVM, whose lower case isn't Unicode's folding there."""
+    wide = text.rlike(r"[^\x00-\x7F]")
+    return F.coalesce(_casefolded(F.when(wide, text)), F.lower(text))
 
 
 def words(folded: Column) -> Column:
@@ -34,7 +45,7 @@ def phrase(of: Column) -> Column:
 
 def repeated_phrase(df: DataFrame, kind: str = "kind", content: str = "content") -> DataFrame:
     """df with phrase and repetitions where content is nothing but copies of one phrase."""
-    parts = df.withColumn("_words", F.when(F.col(kind) == "text", words(fold(F.col(content))))).withColumn("_rows", F.when(F.col(kind) == "table", table_content(F.col(content))))
+    parts = df.withColumn("_words", words(fold(F.when(F.col(kind) == "text", F.col(content))))).withColumn("_rows", table_content(F.when(F.col(kind) == "table", F.col(content))))
     n = F.size("_words")
     text = None
     for size in range(1, MAX_WORDS + 1):
@@ -72,6 +83,53 @@ def region(box: Column, px_w: Column, px_h: Column, out_w: Column, out_h: Column
     return F.struct(low(box["l"], px_w, out_w).alias("l"), low(box["t"], px_h, out_h).alias("t"), high(box["r"], px_w, out_w).alias("r"), high(box["b"], px_h, out_h).alias("b"))
 
 
+#: Built once a worker: (path, content, page indexes) -> rows of schema.EVIDENCE as dicts.
+Inspector = Callable[[str, bytes, list[int]], Iterator[dict]]
+
+
+def gather(files: DataFrame, found: DataFrame, make: Callable[[], Inspector]) -> DataFrame:
+    """Rows (schema.EVIDENCE) on the candidates' pages of PDF files (doc_id, path, content).
+
+    A file that fails gives one row 'failed' and nothing else."""
+    wanted = found.groupBy("doc_id").agg(F.sort_array(F.collect_set("page_index")).alias("pages"))
+    columns = [part.split()[0] for part in EVIDENCE.split(", ")]
+    whole = ["page_index", "rotation", "form_no", "path_no", "seg_no", "other_objects", "type", "width", "height"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        inspect = None
+        for batch in batches:
+            for doc_id, path, content, pages in batch[["doc_id", "path", "content", "pages"]].itertuples(index=False):
+                try:
+                    inspect = inspect or make()
+                    rows = [{**x, "doc_id": doc_id} for x in inspect(path, bytes(content), [int(p) for p in pages])]
+                except Exception:
+                    rows = [{"doc_id": doc_id, "row": "failed"}]
+                made = pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in columns})
+                yield made.astype({"doc_id": "int64"} | dict.fromkeys(whole, "Int32"))
+
+    return files.join(wanted, "doc_id").select("doc_id", "path", "content", "pages").mapInPandas(run, EVIDENCE)
+
+
+def region_evidence(found: DataFrame, geometry: DataFrame, renders: DataFrame) -> DataFrame:
+    """(doc_id, page_index, block_index, darkest, remaining): least channel values of each candidate's region,
+    as the page is and without its background form. Null where the region is empty or outside the page."""
+    page = ["doc_id", "page_index"]
+    at = found.where("bbox IS NOT NULL").select(*page, "block_index", "bbox").join(geometry.select(*page, "px_w", "px_h"), page).join(renders, page)
+    at = at.where("bbox.r <= px_w AND bbox.b <= px_h").withColumn("region", region(F.col("bbox"), F.col("px_w"), F.col("px_h"), F.col("width"), F.col("height")))
+    return at.select(*page, "block_index", darkest_channel("original", "width", "height", "region").alias("darkest"), darkest_channel("foreground", "width", "height", "region").alias("remaining"))
+
+
+def judged(found: DataFrame, sources: DataFrame, pages: DataFrame, evidence: DataFrame, mode: str = "filter") -> DataFrame:
+    """decided() on gathered evidence. sources: (doc_id, is_pdf, transformed); pages: (doc_id, page_index, width, height) in pixels."""
+    rows = lambda kind, *columns: evidence.where(F.col("row") == kind).select("doc_id", "page_index", *columns)
+    readable = sources.join(evidence.groupBy("doc_id").agg((F.count_if(F.col("row") == "failed") == 0).alias("readable")), "doc_id", "left").withColumn("readable", F.coalesce("readable", F.lit(False)))
+    sizes = rows("page", "pt_w", "pt_h", "rotation", "full_bbox")
+    geometry = pages.select("doc_id", "page_index", F.col("width").alias("px_w"), F.col("height").alias("px_h")).join(sizes, ["doc_id", "page_index"])
+    tiled = tiled_forms(sizes, rows("form", "form_no", "l", "b", "r", "t", "other_objects"), rows("path", "form_no", "path_no", "l", "b", "r", "t"), rows("segment", "form_no", "path_no", "seg_no", "type", "x", "y", "is_close"))
+    seen = region_evidence(found, geometry, rows("render", "width", "height", "original", "foreground"))
+    return decided(found, readable, geometry, tiled, seen, mode)
+
+
 def decided(found: DataFrame, sources: DataFrame, geometry: DataFrame, tiled: DataFrame, evidence: DataFrame, mode: str = "filter") -> DataFrame:
     """Candidates with their reason and decision, by the first reason that holds.
 
@@ -140,13 +198,15 @@ def tiled_forms(pages: DataFrame, forms: DataFrame, paths: DataFrame, segments:
     one = forms.groupBy(*page).agg(F.count("*").alias("n"), F.first(F.struct("form_no", "l", "b", "r", "t", "other_objects")).alias("f")).where("n = 1")
     large = one.join(pages, page).where("(f.r - f.l) * (f.t - f.b) >= pt_w * pt_h * 0.25 AND f.other_objects = 0").select(*page, "f.form_no")
     key = [*page, "form_no"]
-    signed = path_signatures(segments, key)
-    shaped = paths.join(large, key).join(signed, [*key, "path_no"], "left").withColumn("kinds", F.transform("signature", lambda s: F.struct(s["type"].alias("type"), s["is_close"].alias("is_close"))))
-    shaped = shaped.withColumn("shape", F.xxhash64(F.bround(F.col("r") - F.col("l")).cast("long"), F.bround(F.col("t") - F.col("b")).cast("long"), F.to_json("kinds")))
-    total = shaped.groupBy(*key).agg(F.count("*").alias("paths"), F.sum("n_segments").alias("segments"), F.bool_and(F.col("signature").isNotNull()).alias("signed"))
-    fine = total.where(F.col("paths").between(MIN_REPEATS, MAX_PATHS) & (F.col("segments") <= MAX_SEGMENTS) & F.col("signed"))
+    # Counts first: nothing is built for a form over a limit, or with a path over one.
+    counted = paths.join(large, key).join(segments.groupBy(*key, "path_no").agg(F.count("*").alias("n_segments")), [*key, "path_no"], "left")
+    total = counted.groupBy(*key).agg(F.count("*").alias("paths"), F.sum("n_segments").alias("segments"), F.bool_and(F.coalesce(F.col("n_segments").between(1, MAX_PATH_SEGMENTS), F.lit(False))).alias("signed"))
+    fine = total.where(F.col("paths").between(MIN_REPEATS, MAX_PATHS) & (F.col("segments") <= MAX_SEGMENTS) & F.col("signed")).select(*key)
+    signed = path_signatures(segments.join(fine, key, "left_semi"), key)
+    shaped = paths.join(fine, key, "left_semi").join(signed, [*key, "path_no"]).withColumn("kinds", F.transform("signature", lambda s: F.struct(s["type"].alias("type"), s["is_close"].alias("is_close"))))
+    shaped = shaped.withColumn("shape", F.struct(F.bround(F.col("r") - F.col("l")).cast("long").alias("width"), F.bround(F.col("t") - F.col("b")).cast("long").alias("height"), F.to_json("kinds").alias("kinds")))
     groups = [*key, "shape"]
     grids = regular_grid(shaped.select(*groups, F.col("l").alias("x"), F.col("b").alias("y")), groups)
     agree = outline_agreement(shaped, groups)
     every = grids.join(agree, groups).groupBy(*key).agg(F.bool_and((F.col("n") >= MIN_REPEATS) & F.col("regular") & F.col("agree")).alias("tiled")).where("tiled")
-    return fine.join(every, key).select(*page)
+    return every.select(*page)

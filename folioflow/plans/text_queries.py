@@ -304,7 +304,7 @@ def exam_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, o_orderkey % 7 IN (0, 5) AS converted, CASE WHEN o_orderkey % 7 IN (0, 5) THEN '**1.** State the value of item ' || o_orderkey || chr(10) || chr(10) || '(A) w' || chr(10) || chr(10) || '(B) x' || chr(10) || chr(10) || '(C) y' || chr(10) || chr(10) || '(D) z' || chr(10) || chr(10) || 'Marks: ' || (o_custkey % 9 + 1) || chr(10) || chr(10) || '**2.** Give five words about order ' || o_orderkey || chr(10) || chr(10) || 'Marks: 2' END AS markdown FROM orders""")
 def question_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = exam_tables(spark, sf_dir).withColumn("t", exams.question_layout(F.col("html")))
+    t = exam_tables(spark, sf_dir).withColumn("t", export.exam_layout(F.col("html")))
     return t.select("o_orderkey", F.col("t").isNotNull().alias("converted"), F.col("t.markdown").alias("markdown"))
 
 

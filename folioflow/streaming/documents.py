@@ -11,10 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import export, normalize
 
 
-def to_markdown(raw_blocks: DataFrame) -> DataFrame:
-    """(doc_id, markdown) of raw blocks: adapted, with options, exported. Rows in error are left out."""
-    elements = normalize.normalize_options(normalize.adapt(raw_blocks).where("error IS NULL"))
-    return export.markdown(elements)
+def to_markdown(raw_blocks: DataFrame, question_layouts: bool = True) -> DataFrame:
+    """(doc_id, markdown) of raw blocks: adapted, with options, exported. Documents with a row in error are left out: they have no row in the result."""
+    elements = normalize.adapt(raw_blocks)
+    bad = elements.where("error IS NOT NULL").select("doc_id").distinct()
+    return export.markdown(normalize.normalize_options(elements.drop("error").join(bad, "doc_id", "left_anti")), question_layouts)
 
 
 def write_markdown(raw_blocks: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

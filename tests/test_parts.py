@@ -54,9 +54,10 @@ def engine():
 def test_files_to_bundles(spark, engine, tmp_path):
     for name, content in (("a.pdf", b"hello"), ("b.PNG", b"bad"), ("c.txt", b"no")):
         (tmp_path / name).write_bytes(content)
-    blocks = inputs.extract(inputs.read_files(spark, str(tmp_path)), "fake")
-    found = {(r["page_no"], r["content"], r["kind"]) for r in normalize.adapt(blocks).collect()}
-    assert found == {(1, "hello", "text"), (2, "# T", "doc_title"), (1, "Extraction failed: unreadable", "error")}
+    raw = inputs.extract(inputs.read_files(spark, str(tmp_path)), "fake")
+    found = {(r["page_no"], r["content"], r["kind"]) for r in normalize.adapt(inputs.blocks(raw)).collect()}
+    assert found == {(1, "hello", "text"), (2, "# T", "doc_title")}
+    assert {r["error"] for r in inputs.errors(raw).collect()} == {"Extraction failed: unreadable", "Unsupported file format: .txt"}
     files = spark.createDataFrame([(1, f"{tmp_path}/out/a", "# T\n")], "doc_id long, root_dir string, markdown string")
     tables = spark.createDataFrame([(1, "tbl-0.html", "<table/>")], "doc_id long, name string, html string")
     images = spark.createDataFrame([(1, "img-0.png", bytearray(b"x"))], "doc_id long, name string, png binary")
@@ -65,7 +66,7 @@ def test_files_to_bundles(spark, engine, tmp_path):
 
 
 def test_stream_of_blocks(spark, tmp_path):
-    rows = [(1, 0, 0, 0, "text", "a", [0.0, 0.0, 1.0, 1.0], None, None), (1, 0, 0, 1, "inline_formula", "$x$", [0.0, 0.0, 1.0, 1.0], None, None), (2, 0, 0, 0, "text", "b", [0.0, 0.0, 1.0, 1.0], None, None)]
+    rows = [(3, 0, 0, 0, "chart", "", None, None, None), (3, 0, 0, 1, "text", "c", None, None, None), (1, 0, 0, 0, "text", "a", [0.0, 0.0, 1.0, 1.0], None, None), (1, 0, 0, 1, "inline_formula", "$x$", [0.0, 0.0, 1.0, 1.0], None, None), (2, 0, 0, 0, "text", "b", [0.0, 0.0, 1.0, 1.0], None, None)]
     spark.createDataFrame(rows, RAW_BLOCKS).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(RAW_BLOCKS).parquet(str(tmp_path / "in"))
     query = documents.write_markdown(stream, str(tmp_path / "out"), str(tmp_path / "check"))
