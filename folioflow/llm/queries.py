@@ -117,6 +117,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import mixing
+    from . import mixing, substrings, suffixes
 
-    return {"op5_mixing": mixing.sql()}
+    return {"op3_suffixes": suffixes.SQL, "op5_mixing": mixing.sql(), "op8_substrings": substrings.SQL}

@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
 
 #: Of stage near-dedup: words of a shingle, least resemblance, keys of a text and least hashes of a key, bits that a BK-tree query reaches, nodes that meet in one task.
-STAGE_SHINGLE, RESEMBLANCE, KEYS, LEAST, REACH, MAX_MEET = 5, 0.8, 24, 3, 26, 2048
+STAGE_SHINGLE, RESEMBLANCE, KEYS, LEAST, REACH, MAX_MEET = 5, 0.8, 24, 3, 26, 512
 _TURNS = np.random.default_rng(20240617).integers(0, 2**63, (KEYS, LEAST), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 

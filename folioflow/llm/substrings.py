@@ -110,3 +110,13 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", *, texts:
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "n_words", "n_removed", "kept_sha256", "kept"][: len(columns)])
 
     return ranged.mapInArrow(run, f"`{key}` long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+
+
+#: The same result from documents, in DuckDB's SQL.
+SQL = r"""WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM split)),
+firsts AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM windows JOIN firsts USING (h), range(13) r(j) WHERE doc_id > low),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM split),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT s.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256 FROM split s LEFT JOIN kept k USING (doc_id)"""

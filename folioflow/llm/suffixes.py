@@ -188,3 +188,16 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", *, texts:
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(columns)])
 
     return ranged.mapInArrow(run, f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
+
+
+#: The same result from documents, in DuckDB's SQL.
+SQL = r"""WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+pieces AS (SELECT doc_id, n, o, x[2 * o + 1:2 * o + 698] AS piece FROM (SELECT *, unnest(range(0, n - 99, 250)) AS o FROM texts)),
+windows AS (SELECT doc_id, o + j AS i, md5_number(piece[2 * j + 1:2 * j + 200]) AS h FROM pieces, range(250) r(j) WHERE o + j <= n - 100),
+firsts AS (SELECT h, min((doc_id, i)) AS first FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM windows JOIN firsts USING (h) WHERE (doc_id, i) > first),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, count_if(step IS NULL OR step > 100) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gone) GROUP BY doc_id, run),
+edges AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs),
+cuts AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, string_agg(x[2 * before + 1:2 * a], '' ORDER BY a) AS head, max(b) AS tail FROM edges JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || x[2 * coalesce(tail, 0) + 1:])) AS kept_sha256 FROM texts t LEFT JOIN cuts USING (doc_id)"""
