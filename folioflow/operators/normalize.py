@@ -105,6 +105,23 @@ def adapt_alternative(items: DataFrame, pages: DataFrame) -> DataFrame:
     return placed.select("doc_id", F.coalesce("page_no", F.lit(1)).alias("page_no"), F.col("seq").cast("int").alias("ord"), "kind", text.alias("content"), box.alias("bbox"), F.when(kind == "image", F.col("png")).alias("image_png"), placement.alias("formula_placement"), table_content(F.when(kind == "table", F.col("text"))).alias("table"), error.alias("error"))
 
 
+def ascending(numbers: Column) -> Column:
+    """Whether an array's numbers go up at every step."""
+    return numbers == F.array_sort(F.array_distinct(numbers))
+
+
+def with_pages(pages: DataFrame, elements: DataFrame) -> DataFrame:
+    """pages (doc_id, page_no) with how many elements each has and the first one's place: pages without any stay."""
+    counted = elements.groupBy("doc_id", "page_no").agg(F.count("*").alias("elements"), F.min("ord").alias("first_ord"))
+    return pages.join(counted, ["doc_id", "page_no"], "left").withColumn("elements", F.coalesce("elements", F.lit(0).cast("long")))
+
+
+def failures(elements: DataFrame) -> DataFrame:
+    """(doc_id, errors) of documents with elements in error, their messages in reading order."""
+    rows = elements.where("error IS NOT NULL").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "ord", "error"))).alias("e"))
+    return rows.select("doc_id", F.transform("e", lambda x: x["error"]).alias("errors"))
+
+
 def markdown_elements(elements: DataFrame) -> DataFrame:
     """Elements that Markdown shows."""
     return elements.where(~F.col("kind").isin(*IGNORED_KINDS))
@@ -161,6 +178,6 @@ def parse_options(df: DataFrame, content: str, out: str) -> DataFrame:
     """df with out: label -> value of ascending labels up to 4; an empty map if the text is ambiguous."""
     parts = _pieces(df, content, LOOSE_OPTION)
     labels = F.col("_labels")
-    good = F.col("_visible").isNotNull() & (labels == F.array_sort(F.array_distinct(labels))) & ~F.exists(labels, lambda x: x > 4) & ~F.exists("_values", lambda v: v == "")
+    good = F.col("_visible").isNotNull() & ascending(labels) & ~F.exists(labels, lambda x: x > 4) & ~F.exists("_values", lambda v: v == "")
     none = F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<string>"))
     return parts.withColumn(out, F.when(good, F.map_from_arrays(labels, F.col("_values"))).otherwise(none)).drop("_visible", "_gaps", "_labels", "_before", "_values")

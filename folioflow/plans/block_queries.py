@@ -81,33 +81,37 @@ def adapt_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("doc_id", "page_no", "ord", "kind", "content", "formula_placement", F.get(F.get("table.rows", F.lit(0)), F.lit(0)).alias("first_cell"), "error")
 
 
-@query(f"""SELECT l_orderkey AS doc_id, count_if(l_partkey % 7 = 5 AND l_suppkey % 4 = 0)::BIGINT AS missing FROM {SEQ} GROUP BY l_orderkey""")
+@query(f"""SELECT l_orderkey AS doc_id, string_agg('image without pixels on page ' || (seq // 3 + 1), ';' ORDER BY seq) AS errors FROM {SEQ} WHERE l_partkey % 7 = 5 AND l_suppkey % 4 = 0 GROUP BY l_orderkey""")
 def image_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.adapt(raw_blocks(spark, sf_dir)).groupBy("doc_id").agg(F.count("error").alias("missing"))
+    return normalize.failures(normalize.adapt(raw_blocks(spark, sf_dir))).select("doc_id", F.array_join("errors", ";").alias("errors"))
 
 
-@query("SELECT l_orderkey AS doc_id, count(*)::BIGINT AS shown FROM lineitem WHERE l_partkey % 7 <> 6 GROUP BY l_orderkey")
+@query(f"""SELECT l_orderkey AS doc_id, seq::INT AS ord, CASE l_partkey % 7 WHEN 0 THEN 'text' WHEN 1 THEN 'doc_title' WHEN 2 THEN 'paragraph_title' WHEN 3 THEN 'display_formula' WHEN 4 THEN 'table' ELSE 'image' END AS kind FROM {SEQ} WHERE l_partkey % 7 <> 6""")
 def ignored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.markdown_elements(normalize.adapt(raw_blocks(spark, sf_dir))).groupBy("doc_id").agg(F.count("*").alias("shown"))
+    return normalize.markdown_elements(normalize.adapt(raw_blocks(spark, sf_dir))).select("doc_id", "ord", "kind")
 
 
-@query("""SELECT p_partkey AS doc_id, CASE WHEN p_partkey % 6 = 5 THEN 1 ELSE p_partkey % 4 + 1 END::INT AS page_no,
-  CASE p_partkey % 6 WHEN 0 THEN '# x' || p_size WHEN 1 THEN repeat('#', p_size % 3 + 1) || ' x' || p_size WHEN 2 THEN '- x' || p_size WHEN 3 THEN '* x' || p_size WHEN 4 THEN 'x' || p_size ELSE 'x' || p_size END AS content,
-  CASE WHEN p_partkey % 6 = 5 OR p_partkey % 4 = 3 THEN NULL ELSE 800 - p_size END::DOUBLE AS top,
-  CASE WHEN p_partkey % 6 <> 5 AND p_partkey % 4 = 3 THEN 'item on an unlisted page' END AS error FROM part""")
+@query("""SELECT p_partkey AS doc_id, CASE WHEN p_partkey % 8 = 5 THEN 1 ELSE p_partkey % 4 + 1 END::INT AS page_no,
+  CASE p_partkey % 8 WHEN 0 THEN '# x' || p_size WHEN 1 THEN repeat('#', p_size % 3 + 1) || ' x' || p_size WHEN 2 THEN '- x' || p_size WHEN 3 THEN '* x' || p_size WHEN 4 THEN 'x' || p_size WHEN 6 THEN '<table><tr><td>' || p_size || '</td></tr></table>' WHEN 7 THEN '' ELSE 'x' || p_size END AS content,
+  CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 THEN NULL ELSE 800 - p_size END::DOUBLE AS top, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 THEN NULL ELSE 800 END::DOUBLE AS bottom,
+  CASE WHEN p_partkey % 8 = 4 THEN 'display' END AS formula_placement, CASE WHEN p_partkey % 8 = 6 THEN p_size::VARCHAR END AS cell, CASE WHEN p_partkey % 8 = 7 AND p_size % 2 = 0 THEN 'P' || p_size END AS picture,
+  CASE WHEN p_partkey % 8 = 7 AND p_size % 2 = 1 THEN 'picture without pixels' WHEN p_partkey % 8 <> 5 AND p_partkey % 4 = 3 THEN 'item on an unlisted page' END AS error FROM part""")
 def adapt_alt_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, key, size = parts(spark, sf_dir)
-    kind = by(key % 6, "title", "section_header", "list_item", "list_item", "formula", "text")
-    text = F.when(key % 6 == 4, say("$x", size, "$")).otherwise(say("x", size))
-    page = F.when(key % 6 != 5, (key % 4 + 1).cast("int"))
-    items = df.select(key.alias("doc_id"), F.lit(0).alias("seq"), page.alias("page_no"), kind.alias("kind"), text.alias("text"), F.when(key % 6 == 1, size % 3 + 1).alias("level"), F.when(key % 6 == 3, "*").otherwise("").alias("marker"), box(0, size, 10, 0).alias("bbox"), F.lit(b"").alias("png"))
+    kind = by(key % 8, "title", "section_header", "list_item", "list_item", "formula", "text", "table", "image")
+    text = by(key % 8, *[say("x", size)] * 4, say("$x", size, "$"), say("x", size), say("<table><tr><td>", size, "</td></tr></table>"), F.lit(""))
+    page = F.when(key % 8 != 5, (key % 4 + 1).cast("int"))
+    png = F.when((key % 8 == 7) & (size % 2 == 0), F.encode(say("P", size), "utf-8"))
+    items = df.select(key.alias("doc_id"), F.lit(0).alias("seq"), page.alias("page_no"), kind.alias("kind"), text.alias("text"), F.when(key % 8 == 1, size % 3 + 1).alias("level"), F.when(key % 8 == 3, "*").otherwise("").alias("marker"), box(0, size, 10, 0).alias("bbox"), png.alias("png"))
     pages = df.select(key.alias("doc_id"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("page_no"), F.lit(800.0).alias("height"))
-    return normalize.adapt_alternative(items, pages).select("doc_id", "page_no", "content", F.col("bbox.t").alias("top"), "error")
+    found = normalize.adapt_alternative(items, pages)
+    return found.select("doc_id", "page_no", "content", F.col("bbox.t").alias("top"), F.col("bbox.b").alias("bottom"), "formula_placement", F.get(F.get("table.rows", F.lit(0)), F.lit(0)).alias("cell"), F.decode("image_png", "utf-8").alias("picture"), "error")
 
 
-@query("SELECT l_orderkey AS doc_id, (seq // 3 + 1)::INT AS page_no, count(*)::BIGINT AS blocks FROM " + SEQ + " GROUP BY ALL")
+@query("SELECT o_orderkey AS doc_id, p::INT AS page_no, count(seq)::BIGINT AS elements, coalesce(min(seq), -1)::INT AS first_ord FROM orders, range(1, 5) r(p) LEFT JOIN " + SEQ + " ON l_orderkey = o_orderkey AND seq // 3 + 1 = p GROUP BY ALL")
 def pages_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.adapt(raw_blocks(spark, sf_dir)).groupBy("doc_id", "page_no").agg(F.count("*").alias("blocks"))
+    pages = read(spark, sf_dir, "orders", "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("page_no"))
+    return normalize.with_pages(pages, normalize.adapt(raw_blocks(spark, sf_dir))).withColumn("first_ord", F.coalesce("first_ord", F.lit(-1)))
 
 
 # --- recovery ----------------------------------------------------------------
@@ -434,21 +438,12 @@ def question_papers(spark: SparkSession, sf_dir: str):
 
 @query("""SELECT p_partkey AS doc_id, c."check", CASE c."check" WHEN 'Q8 options' THEN p_partkey % 4 IN (0, 3) ELSE c.holds END AS passed FROM part, (VALUES ('Q1 options', true), ('Q8 options', NULL), ('Q15 options', true), ('Q2 bounds', true), ('Q3 formula', false),
   ('Q4 pi/2', false), ('Q6 digit restriction', false), ('Q11 matrix', false), ('Q14 determinant', false), ('MathonGo occurrences', true), ('all', false)) c("check", holds)""")
-def qa_checks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.checks(question_papers(spark, sf_dir)[2]).select("doc_id", "check", "passed")
-
-
-@query("""SELECT p_partkey AS doc_id, CASE p_partkey % 4 WHEN 0 THEN 'Q8 options' WHEN 1 THEN 'Q8 options' WHEN 2 THEN 'all' ELSE 'Q2 bounds' END AS "check",
-  p_partkey % 4 IN (0, 3) AS passed FROM part""")
 def qa_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, key, papers = question_papers(spark, sf_dir)
-    wanted = by(key % 4, "Q8 options", "Q8 options", "all", "Q2 bounds")
-    found = qa.checks(papers)
-    return found.join(df.select(key.alias("doc_id"), wanted.alias("check")), ["doc_id", "check"]).select("doc_id", "check", "passed")
+    return qa.checks(question_papers(spark, sf_dir)[2]).select("doc_id", "check", "passed")
 
 
 @query("SELECT l_orderkey, array_to_string(list(DISTINCT l_suppkey ORDER BY l_suppkey), ',') AS numbers, bool_and(up) AS ascending FROM (SELECT *, coalesce(l_suppkey > lag(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY seq), true) AS up FROM " + SEQ + ") GROUP BY l_orderkey")
 def monotonic_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "l_suppkey"))), lambda x: x["l_suppkey"]).alias("n"))
-    ascending = F.col("n") == F.array_sort(F.array_distinct("n"))
+    ascending = normalize.ascending(F.col("n"))
     return rows.select("l_orderkey", F.array_join(F.array_sort(F.array_distinct("n")), ",").alias("numbers"), ascending.alias("ascending"))

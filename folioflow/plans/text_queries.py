@@ -13,6 +13,7 @@ from ..functions import exams, markup
 from ..functions.arrow import column
 from ..functions.mathtext import cell_markdown, escape_cell, inline_formulas, mask_math, tidy_inline, visible_prose
 from ..operators import export, normalize, recover, watermark
+from . import config
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -82,11 +83,6 @@ def mask_math_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return math_texts(spark, sf_dir).select("p_partkey", mask_math(F.col("text")).alias("masked"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 3 THEN NULL ELSE 'tag ' || repeat(' ', 14 + len(p_size::VARCHAR)) || ' and ' || repeat(' ', 9) || 'a' END AS prose FROM part WHERE p_partkey % 8 IN (3, 6)""")
-def visible_prose_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return math_texts(spark, sf_dir).where("p_partkey % 8 IN (3, 6)").select("p_partkey", visible_prose(F.col("text")).alias("prose"))
-
-
 @query("""SELECT p_partkey, CASE p_partkey % 8
   WHEN 0 THEN 'area' || repeat(' ', 6 + len(p_size::VARCHAR)) || 'units'
   WHEN 1 THEN 'cost ' || repeat(' ', 7 + len(p_size::VARCHAR)) || '10'
@@ -96,14 +92,17 @@ def visible_prose_query(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHEN 5 THEN repeat(' ', 7) || ' and ' || repeat(' ', 5 + len(p_size::VARCHAR))
   WHEN 6 THEN 'tag ' || repeat(' ', 14 + len(p_size::VARCHAR)) || ' and ' || repeat(' ', 9) || 'a'
   ELSE 'pipe ' || repeat(' ', 5) || ' with ' || repeat(' ', 2 + len(p_size::VARCHAR)) END AS prose FROM part""")
-def visible_prose_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visible_prose_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return math_texts(spark, sf_dir).select("p_partkey", visible_prose(F.col("text")).alias("prose"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 1 WHEN 5 THEN 1 WHEN 6 THEN 1 ELSE 2 END::BIGINT AS spans FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 8
+  WHEN 0 THEN '4:' || (10 + len(p_size::VARCHAR)) || ' x_' || p_size || ' ' WHEN 4 THEN '11:' || (15 + len(p_size::VARCHAR)) || 'y_' || p_size
+  WHEN 5 THEN '12:' || (17 + len(p_size::VARCHAR)) || ' w' || p_size || ' ' WHEN 6 THEN (29 + len(p_size::VARCHAR)) || ':' || (32 + len(p_size::VARCHAR)) || 'v'
+  WHEN 7 THEN '5:10a|b;16:' || (18 + len(p_size::VARCHAR)) || p_size ELSE '' END AS spans FROM part""")
 def inline_math_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = column(lambda t: len(inline_formulas(t)), "long")
-    return math_texts(spark, sf_dir).select("p_partkey", count(F.col("text")).alias("spans"))
+    found = column(lambda t: ";".join(f"{m.start()}:{m.end()}{m[1]}" for m in inline_formulas(t)), "string")
+    return math_texts(spark, sf_dir).select("p_partkey", found(F.col("text")).alias("spans"))
 
 
 TIDY = """CASE p_partkey % 8
@@ -239,25 +238,12 @@ def normalize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("l_orderkey", F.when(F.col("t.rows").isNull(), -1).otherwise(F.size("t.rows")).cast("long").alias("n_rows"), F.col("t.has_merged_cells").alias("merged"), F.col("t.has_header").alias("header"))
 
 
-@query(f"""SELECT l_orderkey, CASE WHEN l_orderkey % 7 = 3 THEN '|  |  |' WHEN l_orderkey % 7 IN (5, 6) THEN '| part | flag |' END || chr(10) || '| --- | --- |' || chr(10) ||
-  string_agg('| ' || l_partkey || ' | ' || l_returnflag || '\\|' || l_linestatus || '\\_ |', chr(10) ORDER BY {LINES}) AS markdown FROM lineitem WHERE l_orderkey % 7 IN (3, 5, 6) GROUP BY l_orderkey""")
-def table_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = order_tables(spark, sf_dir).where("l_orderkey % 7 IN (3, 5, 6)").withColumn("t", markup.table_content(F.col("html")))
-    return t.select("l_orderkey", export.table_markdown(F.col("t")).alias("markdown"))
-
-
-@query("""SELECT l_orderkey, count(*)::BIGINT AS n FROM lineitem WHERE l_orderkey % 7 NOT IN (3, 5, 6) GROUP BY l_orderkey""")
-def table_html_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = order_tables(spark, sf_dir).where("l_orderkey % 7 NOT IN (3, 5, 6)").withColumn("t", markup.table_content(F.col("html")))
-    return t.where(export.table_markdown(F.col("t")) == F.col("html")).select("l_orderkey", "n")
-
-
 @query(f"""SELECT l_orderkey, CASE WHEN l_orderkey % 7 IN (3, 5, 6) THEN CASE WHEN l_orderkey % 7 = 3 THEN '|  |  |' ELSE '| part | flag |' END || chr(10) || '| --- | --- |' || chr(10) ||
   string_agg('| ' || l_partkey || ' | ' || l_returnflag || '\\|' || l_linestatus || '\\_ |', chr(10) ORDER BY {LINES})
   ELSE '<table>' || CASE l_orderkey % 7 WHEN 0 THEN '<tr><th colspan="2">part</th><th>flag</th></tr>' WHEN 1 THEN '<tr><th>part</th></tr>' WHEN 2 THEN '<tr><th><b>part</b></th><th>flag</th></tr>'
   ELSE '<caption>c</caption><tr><th>part</th><th>flag</th></tr>' END || '<tbody>' || string_agg('<tr><td>' || l_partkey || '</td><td>' || l_returnflag || '|' || l_linestatus || '_</td></tr>', '' ORDER BY {LINES}) || '</tbody></table>' END AS markdown
   FROM lineitem GROUP BY l_orderkey""")
-def table_markdown_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = order_tables(spark, sf_dir).withColumn("t", markup.table_content(F.col("html")))
     return t.select("l_orderkey", export.table_markdown(F.col("t")).alias("markdown"))
 
@@ -297,15 +283,17 @@ def exam_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, key, mark = F.col("o_orderkey") % 7, F.col("o_orderkey"), F.col("o_custkey") % 9 + 1
     head = F.when(k == 3, "<tr><th>a</th><th>b</th><th>c</th></tr>").otherwise("<tr><th>Q.No.</th><th>Questions</th><th>Marks</th></tr>")
     long = say("State the value of item ", key, " (A) w (B) x (C) y (D) z")
-    first = say('<tr><td>1.</td><td>', F.when(k == 2, say("Too short ", key)).when(k == 6, say("State the value of item ", key, " <i>now</i>")).otherwise(long), "</td><td>", mark, "</td></tr>")
+    first = say('<tr><td>1.</td><td>', F.when(k == 2, say("Too short ", key)).when(k == 5, say("State the value of item ", key, " (A) w (B) x (C) y")).when(k == 6, say("State the value of item ", key, " <i>now</i>")).otherwise(long), "</td><td>", mark, "</td></tr>")
     second = say("<tr><td", F.when(k == 4, ' rowspan="2"').otherwise(""), ">", F.when(k == 1, "1.").otherwise("2."), "</td><td>Give five words about order ", key, "</td><td>2</td></tr>")
     return o.select("o_orderkey", k.alias("k"), say("<table>", head, first, second, "</table>").alias("html"))
 
 
-@query("""SELECT o_orderkey, o_orderkey % 7 IN (0, 5) AS converted, CASE WHEN o_orderkey % 7 IN (0, 5) THEN '**1.** State the value of item ' || o_orderkey || chr(10) || chr(10) || '(A) w' || chr(10) || chr(10) || '(B) x' || chr(10) || chr(10) || '(C) y' || chr(10) || chr(10) || '(D) z' || chr(10) || chr(10) || 'Marks: ' || (o_custkey % 9 + 1) || chr(10) || chr(10) || '**2.** Give five words about order ' || o_orderkey || chr(10) || chr(10) || 'Marks: 2' END AS markdown FROM orders""")
+@query("""SELECT o_orderkey, o_orderkey % 7 IN (0, 5) AS converted, CASE WHEN o_orderkey % 7 IN (0, 5) THEN '**1.** State the value of item ' || o_orderkey || CASE WHEN o_orderkey % 7 = 0 THEN chr(10) || chr(10) || '(A) w' || chr(10) || chr(10) || '(B) x' || chr(10) || chr(10) || '(C) y' || chr(10) || chr(10) || '(D) z' ELSE ' (A) w (B) x (C) y' END
+  || chr(10) || chr(10) || 'Marks: ' || (o_custkey % 9 + 1) || chr(10) || chr(10) || '**2.** Give five words about order ' || o_orderkey || chr(10) || chr(10) || 'Marks: 2' END AS markdown,
+  CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 5 THEN 'Question 1.: Ambiguous or incomplete answer group; option spacing unchanged.' END AS warnings, CASE WHEN o_orderkey % 7 IN (0, 5) THEN 0 ELSE -1 END AS repairs FROM orders""")
 def question_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = exam_tables(spark, sf_dir).withColumn("t", export.exam_layout(F.col("html")))
-    return t.select("o_orderkey", F.col("t").isNotNull().alias("converted"), F.col("t.markdown").alias("markdown"))
+    return t.select("o_orderkey", F.col("t").isNotNull().alias("converted"), F.col("t.markdown").alias("markdown"), F.array_join("t.warnings", ";").alias("warnings"), F.coalesce(F.size("t.repairs"), F.lit(-1)).alias("repairs"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'Item ' || p_size || chr(10) || chr(10) || '(A) w' || chr(10) || chr(10) || '(C) x' || chr(10) || chr(10) || '(B) y' || chr(10) || chr(10) || '(D) z'
@@ -318,11 +306,13 @@ def format_question_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("p_partkey", F.col("t.markdown").alias("markdown"), F.size("t.warnings").alias("warnings"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Find (A) $a=1$ (C) $f(x)=(' || p_size || ')$ (D) $b=2$ (B) q' ELSE 'Find (A) $a=1$ (C) $f(x)=(' || p_size || ')(D)$ ' || CASE p_partkey % 3 WHEN 1 THEN 'b' ELSE '$b$' END || ' (B) q' END AS text FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Find (A) $a=1$ (C) $f(x)=(' || p_size || ')$ (D) $b=2$ (B) q' ELSE 'Find (A) $a=1$ (C) $f(x)=(' || p_size || ')(D)$ ' || CASE p_partkey % 3 WHEN 1 THEN 'b' ELSE '$b$' END || ' (B) q' END AS text,
+  CASE WHEN p_partkey % 3 = 0 THEN 'Moved option (D) outside the preceding math delimiter; verify against source.' ELSE '' END AS repairs FROM part""")
 def option_boundary_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, key, size = parts(spark, sf_dir)
     text = say("Find (A) $a=1$ (C) $f(x)=(", size, ")(D)$ ", by(key % 3, "$b=2$", "b", "$b$"), " (B) q")
-    return df.select("p_partkey", exams.repaired_boundary(text)["text"].alias("text"))
+    t = df.select("p_partkey", exams.repaired_boundary(text).alias("t"))
+    return t.select("p_partkey", F.col("t.text").alias("text"), F.array_join("t.repairs", ";").alias("repairs"))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'ABD' WHEN 1 THEN 'AC' ELSE '' END AS labels FROM part")
@@ -339,11 +329,11 @@ def cell_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("p_partkey", exams.plain_cell(by(key % 4, say("a", size, "<br/>b"), say("x &lt; ", size), say("<i>", size, "</i>"), say('i<img src="', size, '">j'))).alias("text"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 4 THEN 3 ELSE 3 END AS rows, o_orderkey % 7 = 4 AS spans FROM orders")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN 'a|b|c' ELSE 'Q.No.|Questions|Marks' END || ';1.|' || CASE o_orderkey % 7 WHEN 2 THEN 'Too short ' || o_orderkey WHEN 5 THEN 'State the value of item ' || o_orderkey || ' (A) w (B) x (C) y' WHEN 6 THEN 'State the value of item ' || o_orderkey || ' <i>now</i>' ELSE 'State the value of item ' || o_orderkey || ' (A) w (B) x (C) y (D) z' END
+  || '|' || (o_custkey % 9 + 1) || ';' || CASE WHEN o_orderkey % 7 = 4 THEN '2' ELSE '' END || CASE WHEN o_orderkey % 7 = 1 THEN '1.' ELSE '2.' END || '|Give five words about order ' || o_orderkey || '|2' AS rows FROM orders""")
 def exam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = column(lambda h: (lambda r: None if r is None else {"rows": len(r), "spans": any(c.rowspan > 1 for x in r for c in x)})(markup.exam_rows(h)), "struct<rows:int,spans:boolean>")
-    t = exam_tables(spark, sf_dir).withColumn("t", shape(F.col("html")))
-    return t.select("o_orderkey", F.col("t.rows").alias("rows"), F.col("t.spans").alias("spans"))
+    shown = column(lambda h: None if (rows := markup.exam_rows(h)) is None else ";".join("|".join((str(c.rowspan) if c.rowspan > 1 else "") + c.content for c in row) for row in rows), "string")
+    return exam_tables(spark, sf_dir).select("o_orderkey", shown(F.col("html")).alias("rows"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'a <img src=\"images/' || p_size || '.png\" alt=\"x &amp; y\"> <b>b</b>' ELSE 'a <img src=\"other\" hidden> <b>b</b>' END AS html FROM part")
@@ -387,9 +377,7 @@ def phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
 def format_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, key, size = parts(spark, sf_dir)
     s = by(key % 3, F.lit(12.5), (F.lit(120.0) + size % 10 + 0.9), F.lit(0.0))
-    whole = F.floor(s).cast("int")
-    shown = F.when(s < 60, F.format_string("%.1fs", s)).otherwise(F.format_string("%dm %02ds", F.floor(whole / 60).cast("int"), (whole % 60).cast("int")))
-    return df.select("p_partkey", shown.alias("shown"))
+    return df.select("p_partkey", config.shown_duration(s).alias("shown"))
 
 
 for old, new in (("mask_math_query", "mask_math"), ("visible_prose_query", "visible_prose"), ("escape_cell_query", "escape_cell")):
