@@ -8,8 +8,8 @@ keyed by integer Hamming distance to the parent); each fingerprint follows only
 the edges within the radius of its own distance and joins what it finds, and
 only the joins that unite two parts leave the shard, so a shard emits fewer
 links than it has fingerprints. Shards of over max_shard fingerprints are cut
-again by a second block of the other bits, exactly by the same argument. A
-shard's tree travels to the task that holds the shard's queries; it isn't
+again by a second block of the other bits, exactly by the same argument, and
+what is still larger meets chunk by chunk. A shard's tree travels to the task that holds the shard's queries; it isn't
 broadcast, as its size has no fixed bound. components(): label exchange over
 the links, with lineage cut each round.
 
@@ -109,8 +109,10 @@ class BKTree:
         return found
 
 
-def shard_links(codes: list[int], radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the codes (distinct) within the radius of one another."""
+def shard_links(codes: list[int], radius: int, first: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the codes (distinct) within the radius of one another.
+
+    first: so many codes are one chunk, the rest another, and only pairs across them count."""
     tree, parent, links = BKTree(), list(range(len(codes))), []
 
     def root(i: int) -> int:
@@ -120,12 +122,16 @@ def shard_links(codes: list[int], radius: int) -> list[tuple[int, int]]:
         return i
 
     for i, code in enumerate(codes):
+        if first is not None and i < first:
+            tree.add(code)
+            continue
         for j in tree.within(code, radius):
             a, b = root(i), root(j)
             if a != b:
                 parent[a] = b
                 links.append((code, codes[j]))
-        tree.add(code)
+        if first is None:
+            tree.add(code)
     return links
 
 
@@ -163,10 +169,20 @@ def link(distinct: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD)
     for i, b in enumerate(blocks):
         second = second.when((F.col("n") > max_shard) & (F.col("block") == i), F.array(*_second(radius, b)))
     placed = shared.withColumn("t", F.explode(second.otherwise(F.array(F.struct(F.lit(0).alias("part"), F.lit(0).cast("long").alias("more"))))))
-    keyed = placed.select("block", "value", "t.part", "t.more", "fp")
+    by = ["block", "value", "part", "more"]
+    keyed = placed.select("block", "value", "t.part", "t.more", "fp", "n")
+    alone = [F.lit(0).alias(c) for c in ("one", "other", "chunk")]
+    # What a second cut leaves large meets chunk by chunk.
+    large = keyed.where(F.col("n") > max_shard)
+    left = large.groupBy(by).agg(F.count("*").alias("m"))
+    chunks = F.ceil(2 * F.col("m") / max_shard).cast("int")
+    chunk = F.pmod(F.xxhash64("fp"), chunks).cast("int")
+    pairs = F.when(F.col("m") <= max_shard, F.array(F.struct(*alone))).otherwise(F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least(x, chunk).alias("one"), F.greatest(x, chunk).alias("other"), chunk.alias("chunk"))))
+    meeting = large.join(left, by).select(*by, F.explode(pairs).alias("p"), "fp").select(*by, "p.*", "fp")
+    keyed = keyed.where(F.col("n") <= max_shard).select(*by, *alone, "fp").unionByName(meeting)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, codes = None, []
+        now, codes, lower = None, [], 0
         links: list[tuple[int, int]] = []
 
         def out() -> pa.RecordBatch:
@@ -176,19 +192,21 @@ def link(distinct: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD)
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for *key, fp in zip(*columns):
+            for *key, chunk, fp in zip(*columns):
                 if key != now:
                     if len(codes) > 1:
-                        links += shard_links(codes, radius)
-                    now, codes = key, []
+                        links += shard_links(codes, radius, lower if now[-2] != now[-1] else None)
+                    now, codes, lower = key, [], 0
                 codes.append(fp & 0xFFFFFFFFFFFFFFFF)
+                lower += chunk == key[-2]
             if len(links) > 50_000:
                 yield out()
         if len(codes) > 1:
-            links += shard_links(codes, radius)
+            links += shard_links(codes, radius, lower if now[-2] != now[-1] else None)
         yield out()
 
-    shards = keyed.repartition("block", "value", "part", "more").sortWithinPartitions("block", "value", "part", "more", "fp")
+    by = [*by, "one", "other"]
+    shards = keyed.repartition(*by).sortWithinPartitions(*by, "chunk", "fp")
     return shards.mapInArrow(run, "a long, b long")
 
 

@@ -12,9 +12,11 @@ bytes, and a row begins a new class where its symbol or the class it came from
 changed: its common prefix with the row before is then under 25 t bytes. After
 four, the classes are the repeated intervals of 100 bytes.
 
-Runs travel by anchor, so equal windows meet in one chunk. The windows of an
-anchor with over HOT contents are told apart by 128-bit hashes under that anchor
-instead, pre-aggregated, so that no task holds the anchor's runs together.
+Runs travel by anchor, so equal windows meet in one chunk. No task could hold the
+runs of an anchor with over HOT contents together: there the same refinement is
+done by joins. A class is named by what makes it (the symbol and the class 25
+bytes on, as 128 bits of hashes) rather than by its rank, four refinements give
+the repeated intervals, and first occurrences are pre-aggregated.
 
 Edge cases: null and empty texts have no bytes; texts under 100 bytes lose
 nothing; rows without a key lose nothing and remove nothing; keys are unique
@@ -157,7 +159,10 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     cool = bodies.where(F.col("contents") <= HOT).select(F.col("h").alias("key"), "doc", "s", "n", "body")
     each = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
     hot = bodies.where(F.col("contents") > HOT).withColumn("i", each).select("h", "doc", (F.col("s") + F.col("i")).alias("s"), F.lit(1).alias("n"), F.substring("body", F.col("i") + 1, F.lit(WINDOW)).alias("body"))
-    hot = hot.select("doc", "s", "n", "h", F.xxhash64(F.lit(1), "body").alias("k1"), F.xxhash64(F.lit(2), "body").alias("k2"))
+    classes = [F.lit(1).cast("long"), F.lit(2).cast("long")]
+    for i in reversed(range(ROUNDS)):
+        classes = [F.xxhash64(F.substring("body", i * SYMBOL + 1, SYMBOL), c) for c in classes]
+    hot = hot.select("doc", "s", "n", "h", classes[0].alias("k1"), classes[1].alias("k2"))
     heads = cut(hot.groupBy("h", "k1", "k2").agg(F.min(F.struct("doc", "s")).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "heads")
     doubles = hot.join(heads, ["h", "k1", "k2"]).where(F.struct("doc", "s") > F.col("first")).select("doc", "s", "n")
     dealt = cool.repartition("key").sortWithinPartitions("key", "doc", "s")

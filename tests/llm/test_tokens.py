@@ -137,3 +137,36 @@ def test_scores_keep_clashing_columns_and_empty_tables(spark):
     assert out.columns == ["doc_id", "text", "label", "mean", "score"] and out.first()["score"] == 0.5 and out.first()["mean"] == "m"
     assert classifier.score(df.limit(0), weights, bias).count() == 0
     assert classifier.labelled_sample(df.limit(0), df.select("doc_id", F.lit(1).alias("quality")), lambda key: F.lit(False))[0] == []
+
+
+def test_encoding_keeps_what_it_does_not_make(spark):
+    names = "doc_id long, text string, ids string, n_tokens string, ids_sha256 int, round_trip int, id_offsets string, decoded_sha256 int"
+    df = spark.createDataFrame([(1, "a b", "i", "n", 7, 8, "o", 9), (1, "a b", "i", "n", 7, 8, "o", 9), (2, None, None, None, None, None, None, None), (3, "", "x", "y", 1, 1, "z", 1)], names)
+    plain = bpe.encode_texts(df, PATH, places=False).where("doc_id = 1").collect()
+    assert len(plain) == 2 and {(r["n_tokens"], r["ids_sha256"], r["round_trip"], r["id_offsets"], tuple(r["ids"])) for r in plain} == {("n", 7, 8, "o", tuple(LIBRARY.encode_ordinary("a b")))}
+    told = bpe.encode_texts(df, PATH, digests=True)
+    assert {(r["doc_id"], r["ids"], r["n_tokens"]) for r in told.collect()} == {(1, "i", 2), (2, None, 0), (3, "x", 0)}
+    for more in ({}, {"digests": True}, {"check": True}):
+        assert bpe.encode_texts(df.limit(0), PATH, **more).count() == 0
+    assert bpe.decode_texts(bpe.encode_texts(df, PATH), PATH).where("decoded = encode(coalesce(text, ''), 'utf-8')").count() == 4
+
+
+def test_judging_odd_tables(spark):
+    vocabulary = P.path("piece_bpe_32k.model")
+    rows = [(1, "one two three four five six seven eight nine ten eleven", 5, "k", "g"), (1, "one two three four five six seven eight nine ten eleven", 5, "k", "g"), (None, None, None, None, None), (3, "", 0, "", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang int, kept string, __x string")
+    got = quality.judge(df, vocabulary)
+    assert got.columns[:4] == ["doc_id", "text", "lang", "__x"] and sorted(r["kept"] for r in got.collect()) == [False, False, True, True]
+    assert quality.judge(df.limit(0), vocabulary).count() == 0
+    # A dozen words in byte fallback: bands widen for short texts, but not so far.
+    garbled = " ".join("ab" + "".join(chr(0x1FAE0 + (i * 5 + j * 3) % 8) for j in range(3)) for i in range(12))
+    found = quality.judge(spark.createDataFrame([(1, garbled), (2, " ".join("ab" + chr(97 + i) * 2 for i in range(12)))], "doc_id long, text string"), vocabulary).collect()
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in found} == {1: (False, False), 2: (False, True)}
+
+
+def test_scripts_by_code_point():
+    from folioflow.llm.quality import SCRIPTS, scripts
+
+    for text, want in {"Ḁḃ": "latin", "ἀβ": "cyrillic_greek", "😀🎉 ok": "latin", "😀": "none", "𠀀漢": "cjk", "ไทย": "other", "𐌰𐌱": "other", "“—” 1": "none", "été": "latin", "мир": "cyrillic_greek"}.items():
+        data, offsets = utf8(pa.array([text]))
+        assert SCRIPTS[scripts(data, offsets)[0]] == want, text
