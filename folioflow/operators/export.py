@@ -145,13 +145,13 @@ def flags(elements: DataFrame) -> DataFrame:
 def sections(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     """(doc_id, page_no, ord, sub, glues, text): what each element emits, in order."""
     keys = ["doc_id", "page_no", "ord"]
-    numbered = number_images(image_uses(elements))
-    maps = _targets(numbered, "images/", "_map")
-    own = numbered.where("path IS NULL").select(*keys, F.col("image_no").alias("_own"))
-    tables = number_tables(elements).select(*keys, "table_no")
-    rows = _markup(flags(elements).where(~F.col("kind").isin(*IGNORED_KINDS)))
-    for more in (maps, own, tables):
-        rows = rows.join(more, keys, "left")
+    name = F.concat(F.lit("images/img-"), F.col("image_no").cast("string"), F.lit(".png"))
+    names = F.collect_set(F.when(F.col("path").isNotNull(), F.struct("path", name.alias("name"))))
+    used = number_images(image_uses(elements)).groupBy(*keys).agg(F.when(F.size(names) > 0, F.map_from_entries(names)).alias("_map"), F.max(F.when(F.col("path").isNull(), F.col("image_no"))).alias("_own"))
+    # The document's order first: pages are then in place for their own windows.
+    order = W.partitionBy("doc_id").orderBy("page_no", "ord").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = elements.withColumn("table_no", (F.sum(F.when(F.col("kind") == "table", 1).otherwise(0)).over(order) - 1).cast("int"))
+    rows = _markup(flags(counted).where(~F.col("kind").isin(*IGNORED_KINDS))).join(used, keys, "left")
     is_table = F.col("kind") == "table"
     rows = rows.withColumn("_shown", F.coalesce(mapped_sources(F.col("_markup"), F.col("_map")), "_text")).withColumn("_group", F.when(F.col("_own").isNull() & ~is_table, F.col("option_group")))
     rows = rows.withColumn("_layout", exam_layout(F.when(is_table, F.col("_shown"))) if question_layouts else F.lit(None).cast("struct<markdown:string>"))
