@@ -8,14 +8,23 @@ from functools import lru_cache
 from pyspark.sql import Column, functions as F
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value evaluated once however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def column(f: Callable, kind: str) -> Callable[..., Column]:
-    """A Column function that applies f to each row of an Arrow batch; a null argument gives null."""
+    """A Column function that applies f to each row of an Arrow batch; a null argument gives null.
+
+    Marked as if its results could differ, so that Catalyst never merges the
+    projection that makes a column of it into those that read the column: each
+    reference would then call Python again."""
 
     def guarded(*values):
         return None if any(v is None for v in values) else f(*values)
 
     @lru_cache(1)
     def made():
-        return F.udf(guarded, kind, useArrow=True)
+        return F.udf(guarded, kind, useArrow=True).asNondeterministic()
 
     return lambda *columns: made()(*columns)

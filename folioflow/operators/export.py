@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.arrow import column
+from ..functions.arrow import column, once
 from ..functions.exams import maybe_exam, question_layout
 from ..functions.markup import image_sources, with_sources
 from ..functions.mathtext import cell_markdown, escape_cell, strip, tidy_inline
@@ -36,7 +36,7 @@ def cell(text: Column) -> Column:
 
 def rendered_cells(rows: Column) -> Column:
     """Rows with each cell as Markdown, null where one can't be; only tables with a dollar leave the JVM."""
-    math = F.exists(rows, lambda r: F.exists(r, lambda c: c.contains("$")))
+    math = F.array_join(F.flatten(rows), "").contains("$")
     return F.when(math, _math_cells(F.when(math, rows))).otherwise(F.transform(rows, lambda r: F.transform(r, escape_cell)))
 
 
@@ -55,7 +55,10 @@ def table_markdown(table: Column, cells: Column | None = None) -> Column:
     """A table struct's Markdown; its HTML if it has no plain rows or a cell can't be Markdown.
 
     cells: the rows with each cell rendered, or null, if already at hand."""
-    cells = rendered_cells(table["rows"]) if cells is None else cells
+    return once(rendered_cells(table["rows"]) if cells is None else cells, lambda c: _table_lines(table, c))
+
+
+def _table_lines(table: Column, cells: Column) -> Column:
     line = lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))
     plain = cells.isNotNull() & ~table["has_merged_cells"] & ~F.exists(cells, lambda r: F.exists(r, lambda c: c.isNull()))
     width = F.size(F.get(cells, F.lit(0)))

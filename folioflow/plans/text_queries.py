@@ -285,7 +285,8 @@ def exam_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = say("State the value of item ", key, " (A) w (B) x (C) y (D) z")
     first = say('<tr><td>1.</td><td>', F.when(k == 2, say("Too short ", key)).when(k == 5, say("State the value of item ", key, " (A) w (B) x (C) y")).when(k == 6, say("State the value of item ", key, " <i>now</i>")).otherwise(long), "</td><td>", mark, "</td></tr>")
     second = say("<tr><td", F.when(k == 4, ' rowspan="2"').otherwise(""), ">", F.when(k == 1, "1.").otherwise("2."), "</td><td>Give five words about order ", key, "</td><td>2</td></tr>")
-    return o.select("o_orderkey", k.alias("k"), say("<table>", head, first, second, "</table>").alias("html"))
+    # The fixture is one split; its rows are small, and reading them as HTML isn't.
+    return o.select("o_orderkey", k.alias("k"), say("<table>", head, first, second, "</table>").alias("html")).repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
 
 
 @query("""SELECT o_orderkey, o_orderkey % 7 IN (0, 5) AS converted, CASE WHEN o_orderkey % 7 IN (0, 5) THEN '**1.** State the value of item ' || o_orderkey || CASE WHEN o_orderkey % 7 = 0 THEN chr(10) || chr(10) || '(A) w' || chr(10) || chr(10) || '(B) x' || chr(10) || chr(10) || '(C) y' || chr(10) || chr(10) || '(D) z' ELSE ' (A) w (B) x (C) y' END
