@@ -384,14 +384,14 @@ def debug_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.debug_elements(e, "primary").select("doc_id", "order", "included_in_markdown", "has_image", F.coalesce("has_merged_cells", F.lit(False)).alias("has_merged_cells"))
 
 
-@query("SELECT o_orderkey AS doc_id, 'tbl-0.html' AS \"table\", o_orderkey % 7 IN (0, 5) AS converted, 0 AS warnings FROM orders")
+@query("SELECT o_orderkey AS doc_id, 'tbl-0.html' AS \"table\", o_orderkey % 7 IN (0, 5) AS converted, CASE WHEN o_orderkey % 7 = 5 THEN 'Question 1.: Ambiguous or incomplete answer group; option spacing unchanged.' ELSE '' END AS warnings FROM orders")
 def question_layout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .text_queries import exam_tables
 
     html = exam_tables(spark, sf_dir)
     table = F.struct(F.col("html"), F.lit(False).alias("has_merged_cells"), F.lit(None).cast("array<array<string>>").alias("rows"), F.lit(False).alias("has_header"))
     e = html.select(F.col("o_orderkey").alias("doc_id"), F.lit(1).alias("page_no"), F.lit(0).alias("ord"), F.lit("table").alias("kind"), F.col("html").alias("content"), table.alias("table"), F.lit(None).cast("binary").alias("image_png"))
-    return export.layout_report(e).select("doc_id", "table", "converted", F.size("warnings").alias("warnings"))
+    return export.layout_report(e).select("doc_id", "table", "converted", F.array_join("warnings", ";").alias("warnings"))
 
 
 # --- files and checks ------------------------------------------------------------
