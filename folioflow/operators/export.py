@@ -87,9 +87,11 @@ def image_uses(elements: DataFrame) -> DataFrame:
     """(doc_id, page_no, ord, pos, path): images in order of use; path is null for an element's own pixels."""
     keys = ["doc_id", "page_no", "ord"]
     shown = _markup(elements.where(~F.col("kind").isin(*IGNORED_KINDS)))
-    embedded = shown.where(F.lower("_markup").contains("<img")).select(*keys, F.posexplode(image_sources(F.col("_markup"))).alias("pos", "path"))
-    own = shown.where((F.col("kind") != "table") & F.col("image_png").isNotNull()).select(*keys, F.lit(1 << 30).alias("pos"), F.lit(None).cast("string").alias("path"))
-    return embedded.unionByName(own)
+    use = lambda pos, path: F.struct(pos.cast("int").alias("pos"), path.cast("string").alias("path"))
+    own = (F.col("kind") != "table") & F.col("image_png").isNotNull()
+    named = shown.select(*keys, own.alias("_own"), image_sources(F.when(F.lower("_markup").contains("<img"), F.col("_markup"))).alias("_sources"))
+    uses = F.concat(F.transform(F.coalesce("_sources", F.array().cast("array<string>")), lambda s, i: use(i, s)), F.when(F.col("_own"), F.array(use(F.lit(1 << 30), F.lit(None)))).otherwise(F.array().cast("array<struct<pos:int,path:string>>")))
+    return named.select(*keys, F.explode_outer(uses).alias("u")).where("u IS NOT NULL").select(*keys, "u.*")
 
 
 def number_images(uses: DataFrame) -> DataFrame:
@@ -147,6 +149,11 @@ def flags(elements: DataFrame) -> DataFrame:
 
 def sections(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     """(doc_id, page_no, ord, sub, glues, text): what each element emits, in order."""
+    return _emitted(elements, question_layouts).where("sub IS NOT NULL")
+
+
+def _emitted(elements: DataFrame, question_layouts: bool) -> DataFrame:
+    """sections(), and a row with a null sub for each element that emits nothing."""
     keys = ["doc_id", "page_no", "ord"]
     name = F.concat(F.lit("images/img-"), F.col("image_no").cast("string"), F.lit(".png"))
     names = F.collect_set(F.when(F.col("path").isNotNull(), F.struct("path", name.alias("name"))))
@@ -154,8 +161,9 @@ def sections(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     # The document's order first: pages are then in place for their own windows.
     order = W.partitionBy("doc_id").orderBy("page_no", "ord").rowsBetween(W.unboundedPreceding, W.currentRow)
     counted = elements.withColumn("table_no", (F.sum(F.when(F.col("kind") == "table", 1).otherwise(0)).over(order) - 1).cast("int"))
-    rows = _markup(flags(counted).where(~F.col("kind").isin(*IGNORED_KINDS))).join(used, keys, "left")
-    is_table = F.col("kind") == "table"
+    hidden = F.col("kind").isin(*IGNORED_KINDS)
+    rows = _markup(flags(counted)).join(used, keys, "left")
+    is_table = (F.col("kind") == "table") & ~hidden
     rows = rows.withColumn("_shown", F.coalesce(mapped_sources(F.col("_markup"), F.col("_map")), "_text")).withColumn("_group", F.when(F.col("_own").isNull() & ~is_table, F.col("option_group")))
     rows = rows.withColumn("_layout", exam_layout(F.when(is_table, F.col("_shown"))) if question_layouts else F.lit(None).cast("struct<markdown:string>"))
     rows = rows.withColumn("_cells", rendered_cells(F.when(is_table & F.col("_layout").isNull(), F.col("table.rows"))))
@@ -170,14 +178,15 @@ def sections(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     link = F.concat(F.lit("[Table "), digit(F.col("table_no") + 1), F.lit("](tables/tbl-"), digit(F.col("table_no")), F.lit(".html)"))
     image = F.concat(F.lit("![Image "), digit(F.col("_own") + 1), F.lit("](images/img-"), digit(F.col("_own")), F.lit(".png)"))
     emitted = (
-        F.when(is_table, F.array("_table", link))
+        F.when(hidden, F.array().cast("array<string>"))
+        .when(is_table, F.array("_table", link))
         .when(F.col("_own").isNotNull(), F.when(F.col("_shown") == "", F.array(image)).otherwise(F.array(image, F.col("_shown"))))
         .when(F.col("_shown") == "", F.array().cast("array<string>"))
         .when(F.col("_group").isNotNull(), F.col("_options"))
         .otherwise(F.array(rendered(F.col("_shown"), F.col("kind"), F.col("formula_placement"), F.col("_tidy"))))
     )
     # An outer generator: a plain one would evaluate its argument twice more, in filters that Catalyst infers from it.
-    return rows.select(*keys, "glues", F.posexplode_outer(emitted).alias("sub", "text")).where("sub IS NOT NULL")
+    return rows.select(*keys, "glues", F.posexplode_outer(emitted).alias("sub", "text"))
 
 
 _tidied_all = column(lambda texts: [tidy_inline(t) for t in texts], "array<string>")
@@ -197,11 +206,11 @@ def islands(parts: DataFrame) -> DataFrame:
 
 def markdown(elements: DataFrame, question_layouts: bool = True) -> DataFrame:
     """(doc_id, markdown): one row a document; a document without sections is a single newline."""
-    parts = separated(sections(elements, question_layouts))
+    parts = separated(_emitted(elements, question_layouts))
     # One pre-sorted array of strings a document: the first separator falls away.
-    texts = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "ord", "sub", "separator", "text"))).alias("s"))
+    texts = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("sub").isNotNull(), F.struct("page_no", "ord", "sub", "separator", "text")))).alias("s"))
     joined = F.array_join(F.transform("s", lambda x, i: F.concat(F.when(i == 0, "").otherwise(x["separator"]), x["text"])), "")
-    return elements.select("doc_id").distinct().join(texts.select("doc_id", joined.alias("_text")), "doc_id", "left").select("doc_id", F.concat(F.coalesce("_text", F.lit("")), F.lit("\n")).alias("markdown"))
+    return texts.select("doc_id", F.concat(joined, F.lit("\n")).alias("markdown"))
 
 
 def layout_report(elements: DataFrame) -> DataFrame:
