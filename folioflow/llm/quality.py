@@ -192,21 +192,23 @@ def _limited(measured: DataFrame) -> DataFrame:
     return joined.withColumn("__low", F.coalesce(F.least(c, e, (c + e) / 2**0.5) < -LIMIT, F.lit(False)))
 
 
-def judge(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """docs (all columns, or those named in keep) with each row's counts, measures and verdict."""
+def judge(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] | None = None, lang: str = "lang") -> DataFrame:
+    """docs (all columns, or those named in keep) with each row's counts, measures and verdict.
+
+    lang: a column of strings that groups are taken by as well, if there is one of that name."""
     result = T.StructType.fromDDL(RESULT)
     own = {f.name for f in result.fields}
     kept = [f for f in docs.schema.fields if f.name not in own and (keep is None or f.name in keep)]
     extra = T.StructType.fromDDL("__tokens long, __group string").fields
     schema = T.StructType([*kept, *result.fields, *extra])
-    lang = next((f.name for f in docs.schema.fields if f.name == "lang" and f.dataType == T.StringType()), None)
+    by_lang = any(f.name == lang and f.dataType == T.StringType() for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = Rules(vocabulary)
         for batch in batches:
             for rows, data, offsets in slices(batch, text):
                 found = rules(data, offsets)
-                langs = rows.column(rows.schema.get_field_index(lang)).to_pylist() if lang else [None] * rows.num_rows
+                langs = rows.column(rows.schema.get_field_index(lang)).to_pylist() if by_lang else [None] * rows.num_rows
                 found["__group"] = np.array([f"{s} {x or ''}" for s, x in zip(found["script"], langs)], object)
                 columns = [rows.column(rows.schema.get_field_index(f.name)) for f in kept]
                 for f in [*result.fields, *extra]:
