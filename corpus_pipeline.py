@@ -24,15 +24,11 @@ from folioflow.llm.common import cut, table
 from folioflow.llm.queries import DEMO_KEY
 
 
-def _packed(docs: DataFrame, *columns: str) -> DataFrame:
-    """docs with each row in column __row, beside the named columns that it has."""
-    return docs.select(F.struct("*").alias("__row"), *[c for c in columns if c in docs.columns])
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.judge(_packed(docs, "text", "lang"), public_tokenizers.path("piece_bpe_32k.model"), keep=("__row",))
-    return judged.where("kept").select("__row.*")
+    hidden = {c: f"__{i}" for i, c in enumerate(docs.columns)}  # names that no result has
+    judged = quality.judge(docs.toDF(*hidden.values()), public_tokenizers.path("piece_bpe_32k.model"), hidden["text"], tuple(hidden.values()), hidden.get("lang", ""))
+    return judged.where("kept").select(*[F.col(new).alias(c) for c, new in hidden.items()])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +38,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data under pseudonyms; a production run names its key in the session."""
-    hidden = pii.pseudonymise(_packed(docs, "text"), key=spark.conf.get(pii.KEY_SETTING, DEMO_KEY))
+    hidden = pii.pseudonymise(docs.select(F.struct("*").alias("__row"), "text"), key=spark.conf.get(pii.KEY_SETTING, DEMO_KEY))
     return hidden.select(*[F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
 
 
