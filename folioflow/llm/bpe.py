@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from .common import distinct_slices, run_starts, slices
 
 #: Entries of a worker's token cache; it is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 # Scanner states. FREE: the next code point starts a token. TICK: a token that
 # is one apostrophe so far. PAIR: a contraction that lacks its second letter.
@@ -335,7 +335,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", *, digest
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(vocabulary)
         for batch in batches:
-            for rows, data, offsets in slices(batch, text):
+            for rows, data, offsets in slices(batch, text, 1 << 20):
                 ids, at, first = coder.encode(data, offsets)
                 columns = [rows.column(rows.schema.get_field_index(n)) for n in names]
                 parts = [ids[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]

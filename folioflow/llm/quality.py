@@ -33,7 +33,7 @@ from .common import SEPARATOR, cut, distinct_slices, mixed, run_starts, slices,
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: script -> (least and most characters per token, most byte-fallback share, least relative entropy)
 BANDS = {"latin": (1.15, 8.0, 0.10, 0.35), "cyrillic_greek": (0.9, 8.0, 0.25, 0.35), "cjk": (0.3, 4.0, 0.75, 0.35), "other": (0.25, 8.0, 0.95, 0.30), "none": (0.8, 8.0, 0.50, 0.30)}
 SCRIPTS = tuple(BANDS)
@@ -206,7 +206,7 @@ def judge(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = Rules(vocabulary)
         for batch in batches:
-            for rows, data, offsets in slices(batch, text):
+            for rows, data, offsets in slices(batch, text, 1 << 20):
                 found = rules(data, offsets)
                 langs = rows.column(rows.schema.get_field_index(lang)).to_pylist() if by_lang else [None] * rows.num_rows
                 found["__group"] = np.array([f"{s} {x or ''}" for s, x in zip(found["script"], langs)], object)
